@@ -4,17 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabmill.defaults import MISSING_TOKENS, NONE_FILL, READER_MISSING_TOKENS, ZERO_FILL
 from tabmill.functions.checks import col, present, string_columns
 
-# What a CSV reader accepts as a number or flag; stricter than a cast, which also takes '5D' as 5.0.
-_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-_DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?[iI]nf(inity)?\s*$"
-_FLAG = r"^(True|TRUE|true|False|FALSE|false)$"
+# A number as CSV readers know it; a cast alone also takes '5D'.
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?[iI]nf(inity)?\s*$"
+_NUMBER_STARTS = [*"0123456789+-. iI"]
+_FLAGS = ["True", "TRUE", "true", "False", "FALSE", "false"]
+_SURE_DIGITS = 18
+
+
+def _kind(value: Column) -> Column:
+    """missing, integer (of 64 bits), decimal, flag or text.
+
+    The first character decides for most text, so that the pattern is tried on likely numbers
+    and nothing is parsed in vain: a failing cast costs a hundred times a successful one.
+    """
+    number = F.substring(value, 1, 1).isin(_NUMBER_STARTS) & value.rlike(_NUMBER)
+    fraction = value.contains(".") | value.contains("e") | value.contains("E") | value.contains("n")
+    fits = (F.length(value) <= _SURE_DIGITS) | value.try_cast("bigint").isNotNull()
+    return (
+        F.when(value.isNull(), "missing")
+        .when(number, F.when(~fraction & fits, "integer").otherwise("decimal"))
+        .when(value.isin(_FLAGS), "flag")
+        .otherwise("text")
+    )
 
 
 def normalize_missing(
@@ -36,34 +54,31 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def infer_types(df: DataFrame, columns: Iterable[str] | None = None, widen_nullable: bool = True) -> DataFrame:
     """Cast string columns to the narrowest type all their values have.
 
-    One aggregate pass decides for all columns: bigint, double, boolean or string. With
+    One pass decides for all columns: bigint, double, boolean or string. With
     ``widen_nullable`` an integer column with missing values becomes double and an empty
     column too, as in a reader whose integers cannot be missing.
     """
     names = present(df, columns) if columns is not None else string_columns(df)
     if not names:
         return df
-    probes = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(names):
-        whole = F.when(col(c).rlike(_INTEGER), F.expr(f"try_cast(trim(`{c}`) as bigint)"))
-        probes += [
-            F.count(col(c)).alias(f"n{i}"),
-            F.count(whole).alias(f"i{i}"),
-            F.count_if(col(c).rlike(_DECIMAL)).alias(f"d{i}"),
-            F.count_if(col(c).rlike(_FLAG)).alias(f"b{i}"),
-        ]
-    seen = df.agg(*probes).first()
+    # one row per value and column, counted within each input partition: a single aggregate row
+    # with several probes per column would be too much code to compile for wide tables
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), col(c).alias("value")) for c in names])))
+    counts = cells.groupBy("column", _kind(F.col("value")).alias("kind")).count()
+    kinds: dict[str, set[str]] = {c: set() for c in names}
+    for r in counts.collect():
+        kinds[r["column"]].add(r["kind"])
     casts = {}
-    for i, c in enumerate(names):
-        n = seen[f"n{i}"]
-        complete = n == seen["rows"]
-        if n == 0:
-            target = "double" if widen_nullable else None
-        elif seen[f"i{i}"] == n:
+    for c, found in kinds.items():
+        complete = "missing" not in found
+        values = found - {"missing"}
+        if not values:
+            target = "double" if found and widen_nullable else None
+        elif values == {"integer"}:
             target = "bigint" if complete or not widen_nullable else "double"
-        elif seen[f"d{i}"] == n:
+        elif values <= {"integer", "decimal"}:
             target = "double"
-        elif seen[f"b{i}"] == n and (complete or not widen_nullable):
+        elif values == {"flag"} and (complete or not widen_nullable):
             target = "boolean"
         else:
             target = None

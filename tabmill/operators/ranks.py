@@ -19,7 +19,10 @@ from tabmill.functions.checks import col
 from tabmill.operators.profile import long_form
 
 BINS = 512
+# Distinct values of an interval that are counted one by one instead of by bins.
 COUNT_VALUES_UP_TO = 100_000
+# Distinct values of a column that one aggregation buffer may hold (an upper estimate is checked).
+BUFFER_VALUES_UP_TO = 500_000
 
 _NO_PART = -1
 
@@ -30,16 +33,18 @@ def _located(counts: DataFrame, targets: DataFrame) -> DataFrame:
     ``counts``: column, interval, bin, part, n, lo, hi; ``targets``: column, interval, skip, rank.
     A group of the window has at most as many rows as an interval has bins.
     """
+    skips = targets.select("column", "interval", "skip").distinct()
     seen = (
-        counts.join(F.broadcast(targets), ["column", "interval"])
+        counts.join(F.broadcast(skips), ["column", "interval"])
         .where(F.col("part") != F.col("skip"))
-        .groupBy("column", "interval", "skip", "rank", "bin")
+        .groupBy("column", "interval", "skip", "bin")
         .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     )
-    upto = Window.partitionBy("column", "interval", "skip", "rank").orderBy("bin")
+    upto = Window.partitionBy("column", "interval", "skip").orderBy("bin")
     running = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         seen.withColumn("upto", F.sum("n").over(running))
+        .join(F.broadcast(targets), ["column", "interval", "skip"])
         .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
         .select("column", "interval", "skip", "rank", (F.col("rank") - F.col("upto") + F.col("n")).alias("inner"), "n", "lo", "hi")
     )
@@ -167,6 +172,7 @@ def medians(
     leave_out: str | None = None,
     bins: int = BINS,
     count_up_to: int = COUNT_VALUES_UP_TO,
+    buffer_up_to: int = BUFFER_VALUES_UP_TO,
 ) -> dict[int | None, dict[str, float | None]]:
     """Exact medians; with an even count the mean of the two middle values.
 
@@ -184,20 +190,33 @@ def medians(
     span = _spans(cells)
     counts = {c: span[c]["parts"] if c in span else {} for c in columns}
     skips = sorted({p for c in counts.values() for p in c}) if leave_out else [_NO_PART]
+    result: dict[int | None, dict[str, float | None]] = {
+        (skip if leave_out else None): dict.fromkeys(columns) for skip in skips
+    }
+    few = [c for c in span if span[c]["levels"] <= buffer_up_to]
+    if few:
+        # counted by value and part first: what is aggregated per fold are distinct values, not rows
+        by_value = cells.where(F.col("column").isin(few)).groupBy("column", "part", "value").agg(F.count(F.lit(1)).alias("n"))
+        if leave_out:
+            skip = F.explode(F.array(*[F.lit(s) for s in skips]))
+            by_value = by_value.withColumn("skip", skip).where("skip <> part")
+        else:
+            by_value = by_value.withColumn("skip", F.lit(_NO_PART))
+        # one row per column and fold
+        for r in by_value.groupBy("column", "skip").agg(F.expr("percentile(value, 0.5, n)").alias("median")).collect():
+            result[r["skip"] if leave_out else None][r["column"]] = r["median"]
+    many = [c for c in span if c not in few]
     middle = {}
-    for c in columns:
+    for c in many:
         for skip in skips:
             n = sum(m for p, m in counts[c].items() if p != skip)
             if n:
                 middle[(c, skip)] = sorted({(n - 1) // 2, n // 2})
     wanted = [(c, skip, rank) for (c, skip), ranks in middle.items() for rank in ranks]
     found = _select(cells, span, wanted, bins, count_up_to) if wanted else {}
-    result: dict[int | None, dict[str, float | None]] = {}
-    for skip in skips:
-        per_column = result.setdefault(skip if leave_out else None, {})
-        for c in columns:
-            values = [found[(c, skip, rank)] for rank in middle.get((c, skip), [])]
-            per_column[c] = sum(values) / len(values) if values else None
+    for (c, skip), ranks in middle.items():
+        values = [found[(c, skip, rank)] for rank in ranks]
+        result[skip if leave_out else None][c] = sum(values) / len(values)
     return result
 
 

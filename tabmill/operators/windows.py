@@ -13,15 +13,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "_row_rank"
+# Spark limits groups before the shuffle up to this n (spark.sql.optimizer.windowGroupLimitThreshold).
+PRE_LIMITED_UP_TO = 1000
+SPLITS = 64
 
 
-def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each group; never more, so ``order`` should be total."""
+def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
+    """The first ``n`` rows of each group; never more, so ``order`` should be total.
+
+    For a large ``n`` each group is first cut down in hashed splits, in parallel.
+    """
+    if n > PRE_LIMITED_UP_TO:
+        split = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SPLITS))
+        df = _first_rows(df.withColumn("_split", split), [*keys, "_split"], order, n).drop("_split")
+    return _first_rows(df, keys, order, n)
+
+
+def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) <= n).drop(_RANK)
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], at: str, tie_break: Sequence[Column] = ()) -> DataFrame:
+def dedup_latest(df: DataFrame, keys: Sequence[str], at: str, tie_break: Sequence[Column | str] = ()) -> DataFrame:
     """One row per key: the latest; rows without a time come last.
 
     Where no tie-break is given, all remaining columns decide, so that equal times give the

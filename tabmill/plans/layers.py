@@ -24,7 +24,7 @@ def on_features(df: DataFrame, keys: Sequence[str], step: Callable[[DataFrame],
     require_columns(df, keys, what)
     out = step(df)
     rest = [c for c in out.columns if c not in set(keys)]
-    return out.select(*[df[f"`{k}`"] for k in keys], *[col(c) for c in rest])
+    return out.select(*[col(k) for k in keys], *[col(c) for c in rest])
 
 
 def bronze(raw_text: DataFrame) -> DataFrame:

@@ -26,19 +26,19 @@ def _with_run(df: DataFrame, version: str) -> DataFrame:
     return df.withColumns({"run_ts": ts, "run_date": F.to_date(ts)})
 
 
-def _latest(raw: DataFrame, columns: Sequence[str], keys: Sequence[str], tie_break: Sequence[Column]) -> DataFrame:
+def _latest(raw: DataFrame, columns: Sequence[str], keys: Sequence[str], tie_break: Sequence[Column | str]) -> DataFrame:
     loaded = raw.select(*columns, load_timestamp(raw, "created_at_utc").alias("created_at_utc"))
     return dedup_latest(loaded, keys, "created_at_utc", tie_break)
 
 
-def core_models(models: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
+def core_models(models: DataFrame, tie_break: Sequence[Column | str] = ()) -> DataFrame:
     """The latest row of each model, with the start of its run."""
     latest = _latest(models, [*MODEL_COLUMNS, "file_path"], ["id"], tie_break)
     out = _with_run(latest, "version")
     return out.select(*MODEL_COLUMNS, "created_at_utc", "file_path", "run_ts", "run_date")
 
 
-def core_cv_predictions(cv: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
+def core_cv_predictions(cv: DataFrame, tie_break: Sequence[Column | str] = ()) -> DataFrame:
     """The latest out-of-fold prediction per model, run and id, with its value bucket."""
     latest = _latest(cv, CV_COLUMNS, PREDICTION_KEYS, tie_break)
     return _with_run(latest, "model_version").withColumns(
@@ -46,7 +46,7 @@ def core_cv_predictions(cv: DataFrame, tie_break: Sequence[Column] = ()) -> Data
     )
 
 
-def core_predictions(predictions: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
+def core_predictions(predictions: DataFrame, tie_break: Sequence[Column | str] = ()) -> DataFrame:
     """The latest prediction per model, run and id."""
     return _with_run(_latest(predictions, SCORE_COLUMNS, PREDICTION_KEYS, tie_break), "model_version")
 
@@ -91,7 +91,7 @@ def latest_champion(champions: DataFrame) -> DataFrame:
 
 
 def predictions_latest_champion(
-    predictions: DataFrame, champions: DataFrame, tie_break: Sequence[Column] = ()
+    predictions: DataFrame, champions: DataFrame, tie_break: Sequence[Column | str] = ()
 ) -> DataFrame:
     """The predictions of the latest champion.
 
