@@ -151,16 +151,13 @@ class FeaturePrepModel(TableStored, Model, _PrepParams):
         numbers = {c: f"_num{i}" for i, c in enumerate(self.fills)}
         out = df.withColumns({name: self._number(c) for c, name in numbers.items()}) if numbers else df
         indexed, inputs = [], []
-        if self.kept:
-            labels = []
-            for i, (c, names) in enumerate(self.kept.items()):
-                out = self._category(out, c, f"_cat{i}")
-                inputs.append(f"_cat{i}")
-                indexed.append(f"_idx{i}")
-                # a learner needs at least one level, also where all rows miss the column
-                labels.append((names + [INFREQUENT] if self.rare[c] else names) or [MISSING_CATEGORY])
-            indexer = StringIndexerModel.from_arrays_of_labels(labels, inputs, indexed, handleInvalid="keep")
-            out = indexer.transform(out)
+        for i, (c, names) in enumerate(self.kept.items()):
+            inputs.append(f"_cat{i}")
+            indexed.append(f"_idx{i}")
+            # a learner needs at least one level, also where all rows miss the column
+            labels = [*names, INFREQUENT] if self.rare[c] else names or [MISSING_CATEGORY]
+            indexer = StringIndexerModel.from_labels(labels, inputs[-1], indexed[-1], handleInvalid="keep")
+            out = indexer.transform(self._category(out, c, inputs[-1]))
         categories = indexed
         if self.kept and not native:
             categories = [f"{c}_is" for c in self.kept]

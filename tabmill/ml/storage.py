@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 
 
 class TableWriter(MLWriter):
@@ -31,23 +31,16 @@ class TableReader(MLReader):
         return model
 
 
-class TableStored:
+class TableStored(MLWritable, MLReadable):
     """Mixin: ``_state()`` goes to the metadata, ``_table()`` to Parquet, ``_restore`` reads both."""
 
     def write(self):
         return TableWriter(self)
 
-    def save(self, path: str) -> None:
-        self.write().save(path)
-
     @classmethod
     def read(cls):
         return TableReader(cls)
 
-    @classmethod
-    def load(cls, path: str):
-        return cls.read().load(path)
-
     def _state(self) -> dict:
         return {}
 

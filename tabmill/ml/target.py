@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.pipeline import PipelineModel
-from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +38,7 @@ class TransformedTarget(Estimator, _TargetParams):
         return self._copyValues(TransformedTargetModel(fitted))
 
 
-class TransformedTargetModel(Model, _TargetParams):
+class TransformedTargetModel(Model, _TargetParams, MLWritable, MLReadable):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
@@ -51,17 +51,10 @@ class TransformedTargetModel(Model, _TargetParams):
     def write(self):
         return _Writer(self)
 
-    def save(self, path: str) -> None:
-        self.write().save(path)
-
     @classmethod
     def read(cls):
         return _Reader(cls)
 
-    @classmethod
-    def load(cls, path: str) -> "TransformedTargetModel":
-        return cls.read().load(path)
-
 
 class _Writer(MLWriter):
     def __init__(self, instance):
