@@ -14,20 +14,24 @@ REQUIRED_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# The JVM does not compile methods beyond 8000 bytes of bytecode. Generated code of a wide table
+# is larger; past this limit Spark evaluates it in smaller methods, which are compiled.
+WIDE_TABLE_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 
 def build_session(app_name: str = "tabmill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the required settings; ``master`` only for local work and tests."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED_CONF, "spark.sql.adaptive.enabled": "true", **conf}.items():
+    for key, value in {**REQUIRED_CONF, **WIDE_TABLE_CONF, "spark.sql.adaptive.enabled": "true", **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def pin_semantics(spark: SparkSession) -> SparkSession:
-    """Apply the required settings to a session somebody else has built."""
-    for key, value in REQUIRED_CONF.items():
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session somebody else has built."""
+    for key, value in {**REQUIRED_CONF, **WIDE_TABLE_CONF}.items():
         spark.conf.set(key, value)
     return spark
 

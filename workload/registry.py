@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabmill.session import pin_semantics
+from tabmill.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +23,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         if name in QUERIES:
             raise ValueError(f"query {name} exists already")
 
-        def pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return as_text(run(pin_semantics(spark), sf_dir))
+        def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return as_text(run(configure(spark), sf_dir))
 
-        QUERIES[name] = pinned
+        QUERIES[name] = configured
         if sql is not None:
             SQL[name] = sql
         return run
