@@ -12,7 +12,8 @@ from tabmill.functions.times import load_timestamp, run_timestamp
 from tabmill.operators.metrics import error_by_bucket
 from tabmill.operators.windows import dedup_latest, first_row, top_per_group
 
-PREDICTION_KEYS = ["model_id", "kaggle_id", "model_version"]
+# the number first: sorts compare it before the long strings
+PREDICTION_KEYS = ["kaggle_id", "model_id", "model_version"]
 
 MODEL_COLUMNS = ["id", "name", "version", "is_champion", "cv_rmse_mean", "cv_rmse_std", "rmse_test", "r2_test"]
 CV_COLUMNS = [

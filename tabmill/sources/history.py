@@ -15,6 +15,9 @@ from tabmill.sources.readers import path_exists, read_csv, read_growing
 # --- fixed values: the run tables and the column that names the run ---
 RUN_TABLES = {"models": "version", "train_cv_predictions": "model_version", "predictions": "model_version"}
 
+# Runs of a snapshot that are looked up as a list.
+LISTED_RUNS = 1_000
+
 
 def append_history(df: DataFrame, path: str) -> None:
     """Append to a Parquet history. Columns are matched by name when it is read, and may grow."""
@@ -39,15 +42,26 @@ def distinct_runs(df: DataFrame, version: str) -> DataFrame:
 
 
 def runs_already_loaded(stored: DataFrame, incoming: DataFrame, version: str) -> DataFrame:
-    """The incoming run versions that the stored table has."""
-    return distinct_runs(incoming, version).join(stored.select(F.col(version).cast("string")), version, "left_semi")
+    """The incoming run versions that the stored table has.
+
+    Both sides are reduced to distinct versions before the join, within each input partition
+    first, so a run with a third of the rows is one row when it is shuffled.
+    """
+    return distinct_runs(incoming, version).join(distinct_runs(stored, version), version, "left_semi")
 
 
 def any_run_loaded(stored: DataFrame, incoming: DataFrame, version: str) -> bool:
-    """Whether any incoming run is stored; stops at the first one found."""
+    """Whether any incoming run is stored; stops at the first one found.
+
+    A snapshot has few runs: they become a list that the scan of the stored table filters by.
+    More of them than a list should hold are joined.
+    """
     if version not in stored.columns:
         return False
-    return not runs_already_loaded(stored, incoming, version).isEmpty()
+    runs = [r[version] for r in distinct_runs(incoming, version).limit(LISTED_RUNS + 1).collect()]
+    if len(runs) > LISTED_RUNS:
+        return not runs_already_loaded(stored, incoming, version).isEmpty()
+    return bool(runs) and not stored.where(F.col(version).isin(runs)).isEmpty()
 
 
 def new_runs(stored: DataFrame | None, incoming: DataFrame, version: str) -> DataFrame:

@@ -70,6 +70,14 @@ def test_new_runs_keep_rows_without_version(spark):
     assert sorted(r["v"] for r in left.collect()) == [2, 3]
 
 
+def test_many_runs_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(history, "LISTED_RUNS", 1)
+    stored_runs = run(spark, "a", *range(50)).union(run(spark, "b", 1))
+    assert history.any_run_loaded(stored_runs, run(spark, "b", 1).union(run(spark, "c", 1)), "version")
+    assert not history.any_run_loaded(stored_runs, run(spark, "d", 1).union(run(spark, "c", 1)), "version")
+    assert not history.any_run_loaded(stored_runs, run(spark, None, 1), "version")
+
+
 def test_a_stream_loads_each_run_once(spark, tmp_path):
     landing, raw, check = (str(tmp_path / p) for p in ("in", "raw", "check"))
     schema = run(spark, "a", 1).schema

@@ -411,7 +411,6 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     f"CASE WHEN segment = '{s}' THEN 1 ELSE 0 END AS \"segment_{s}\"" for s in SEGMENTS
 ) + ", CASE WHEN segment IS NULL THEN 1 ELSE 0 END AS \"segment___missing__\" FROM gaps")
 def one_hot_columns(spark, sf):
-    """Levels met in the odd customers only are encoded for all."""
     gaps = _gaps(spark, sf).select("c_custkey", "segment")
     return encode.one_hot(gaps, encode.levels(gaps, ["segment"], 1), ["segment"])
 

@@ -43,10 +43,14 @@ def overwritten_table(spark, sf):
     return read_table(spark, name)
 
 
-@query("namespace_created", "SELECT 'tabmill_probe' AS namespace")
-def namespace_created(spark, sf):
+@query("table_in_namespace", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
+def table_in_namespace(spark, sf):
+    """A namespace that is made when needed, and a table within it."""
     sinks.ensure_namespace(spark, "tabmill_probe")
-    return spark.sql("SHOW SCHEMAS LIKE 'tabmill_probe'").select("namespace")
+    name = "tabmill_probe." + _table_name("orders")
+    days = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    sinks.overwrite_table(days, name, path=scratch_path(spark, "orders"))
+    return read_table(spark, name)
 
 
 @query(
