@@ -109,3 +109,20 @@ def test_first_configuration_wins_ties(spark):
     assert choose.best_model(df, ordinal="ordinal").first()["id"] == "b"
     flags = {r["id"]: r["is_champion"] for r in choose.mark_champion(df, ordinal="ordinal").collect()}
     assert flags == {"a": False, "b": True, "c": False}
+
+
+def test_catalog_views_push_the_champion_below_the_window(spark, sf, tmp_path):
+    from tabmill.plans.views import apply_views
+    from tabmill.sources.sinks import ensure_namespace, overwrite_table
+
+    ensure_namespace(spark, "v_raw")
+    for name, source in (("models", "models"), ("train_cv_predictions", "cv"), ("predictions", "predictions")):
+        overwrite_table(fixture(spark, sf, source), f"v_raw.{name}", path=str(tmp_path / name))
+    names = apply_views(spark, "v_raw", "v_core", "v_marts")
+    assert apply_views(spark, "v_raw", "v_core", "v_marts") == names and len(names) == 10
+    for name in names:
+        assert spark.table(name).count() > 0
+    plan = physical(spark.table("v_marts.predictions_latest_champion"))
+    assert plan.index("Window ") < plan.index("BroadcastHashJoin") and "SinglePartition" not in plan
+    marts_columns = marts.cv_error_by_bucket(marts.core_cv_predictions(spark.table("v_raw.train_cv_predictions"))).columns
+    assert set(spark.table("v_marts.cv_error_by_bucket").columns) == set(marts_columns)

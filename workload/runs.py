@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from tabmill.operators.profile import layer_report
 from tabmill.plans import layers, marts
+from tabmill.plans.views import apply_views
 from tabmill.session import scratch_path
 from tabmill.sources import history, sinks
 from tabmill.sources.readers import read_growing, read_optional, read_table
 from workload.dialects import epoch_ts, text_of
 from workload.fixtures import fixture, houses_as_text, table, with_fixtures
 from workload.marts import CV_ROUND, FLAGS
-from workload.registry import query, rounded
+from workload.registry import SQL, query, rounded
 
 MODELS_ROUND = "SELECT * REPLACE (round(cv_rmse_mean, 6) AS cv_rmse_mean) FROM"
 
@@ -400,3 +401,44 @@ def latest_of_history(spark, sf):
     for _ in range(2):
         history.load_raw(models, path, "version", skip="none")
     return rounded(marts.core_models(read_growing(spark, path), ["cv_rmse_mean"]).select("id", "cv_rmse_mean"), 6)
+
+
+def _catalog_views(spark, sf):
+    """RAW tables of a new namespace with the views over them; returns the namespaces."""
+    raw, core, mart = (_table_name(n) for n in ("raw", "core", "marts"))
+    sinks.ensure_namespace(spark, raw)
+    for name, source in (("models", "models"), ("train_cv_predictions", "cv"), ("predictions", "predictions")):
+        sinks.overwrite_table(fixture(spark, sf, source), f"{raw}.{name}", path=scratch_path(spark, f"{raw}-{name}"))
+    apply_views(spark, raw, core, mart)
+    return core, mart
+
+
+# in the views all remaining columns settle ties, so the row with the smaller prediction wins as well
+@query("view_cv_error_by_bucket", SQL["cv_error_by_bucket"])
+def view_cv_error_by_bucket(spark, sf):
+    _, mart = _catalog_views(spark, sf)
+    return rounded(spark.table(f"{mart}.cv_error_by_bucket"), mean_rel_error=8)
+
+
+@query("view_champion_by_run", SQL["champion_by_run"])
+def view_champion_by_run(spark, sf):
+    _, mart = _catalog_views(spark, sf)
+    return rounded(spark.table(f"{mart}.champion_by_run"), cv_rmse_mean=6, r2_test=6)
+
+
+@query("view_predictions_latest_champion", SQL["predictions_latest_champion"])
+def view_predictions_latest_champion(spark, sf):
+    _, mart = _catalog_views(spark, sf)
+    return spark.table(f"{mart}.predictions_latest_champion")
+
+
+@query("view_top_outliers", SQL["top_outliers"])
+def view_top_outliers(spark, sf):
+    _, mart = _catalog_views(spark, sf)
+    return rounded(spark.table(f"{mart}.top_outliers"), rel_error=8)
+
+
+@query("view_core_models", SQL["core_models"])
+def view_core_models(spark, sf):
+    core, _ = _catalog_views(spark, sf)
+    return rounded(spark.table(f"{core}.v_models"), cv_rmse_mean=6, r2_test=6)
