@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabmill.defaults import MISSING_TOKENS, NONE_FILL, READER_MISSING_TOKENS, ZERO_FILL
-from tabmill.functions.checks import col, present, string_columns
+from tabmill.functions.checks import col, present, quoted, string_columns
 
 # A number as CSV readers know it; a cast alone also takes '5D'.
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?[iI]nf(inity)?\s*$"
@@ -42,7 +42,10 @@ def normalize_missing(
 ) -> DataFrame:
     """Replace the missing tokens of string columns by NULL."""
     names = present(df, columns) if columns is not None else string_columns(df)
-    return df.withColumns({c: F.when(~col(c).isin(list(tokens)), col(c)) for c in names})
+    if not names:
+        return df
+    listed = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
+    return df.withColumns({c: F.expr(f"CASE WHEN {quoted(c)} NOT IN ({listed}) THEN {quoted(c)} END") for c in names})
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

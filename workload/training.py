@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabmill.functions.targets import LOG_TARGET, RAW_TARGET
@@ -218,6 +219,81 @@ def holdout_metrics(spark, sf):
     return rounded(found.select("is_holdout", "n", "rmse", "r2"), 3, r2=8)
 
 
+# --- Spark ML where the result is unique: least squares, fitted encodings ---
+
+
+def two_features_sql(forward: str, inverse: str) -> str:
+    """Least squares on two features in closed form, per fold, after median imputation."""
+    x1, x2 = q("GrLivArea"), q("OverallQual")
+    return f"""
+    med AS (SELECT k, cast(median({x1}) AS double) AS med FROM ks JOIN folded ON fold <> k GROUP BY k),
+    r AS (SELECT ks.k, fold, coalesce({x1}, med) AS a, {x2} AS b, {q('SalePrice')} AS y, {forward} AS t
+          FROM ks JOIN med USING (k), folded),
+    s AS (SELECT k, avg(a) AS ma, avg(b) AS mb, avg(t) AS mt, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS vab,
+                 covar_pop(a, t) AS vat, covar_pop(b, t) AS vbt FROM r WHERE fold <> k GROUP BY k),
+    c AS (SELECT k, ma, mb, mt, (vat * vb - vbt * vab) / (va * vb - vab * vab) AS ca, (vbt * va - vat * vab) / (va * vb - vab * vab) AS cb
+          FROM s),
+    o AS (SELECT fold, y, {inverse.format(p='(mt + ca * (a - ma) + cb * (b - mb))')} AS p FROM r JOIN c USING (k) WHERE fold = k)
+    SELECT cast(fold AS integer) AS fold, count(*) AS n, round(sqrt(avg(pow(y - p, 2))), 2) AS rmse,
+           round(1 - sum(pow(y - p, 2)) / (var_pop(y) * count(y)), 6) AS r2 FROM o GROUP BY fold"""
+
+
+def _two_features(spark, sf, target):
+    houses = fixture(spark, sf, "houses").select("Id", "SalePrice", "GrLivArea", "OverallQual")
+    folded = materialize(folds.assign_folds(houses, "Id", K), "folded")
+    oof = training.out_of_fold(folded, lambda: regressors.linear_regression("SalePrice", target, ["Id"]), K, ["Id", "SalePrice"])
+    found = metrics.regression_metrics(oof, "SalePrice", "prediction", ["fold"])
+    return rounded(found.select("fold", "n", "rmse", "r2"), 2, r2=6)
+
+
+@query("least_squares_oof", with_fixtures("houses", f"WITH {FOLDED}, {ALL_FOLDS}, {two_features_sql(*RAW_SQL)}"))
+def least_squares_oof(spark, sf):
+    return _two_features(spark, sf, "raw")
+
+
+@query("least_squares_log_oof", with_fixtures("houses", f"WITH {FOLDED}, {ALL_FOLDS}, {two_features_sql(*LOG_SQL)}"))
+def least_squares_log_oof(spark, sf):
+    return _two_features(spark, sf, "log")
+
+
+RARE_BELOW = 100
+PREPARED_SQL = f"""
+WITH h AS (SELECT *, median({q('GrLivArea')}) OVER () AS med, cast({q('YearBuilt')} AS varchar) AS built FROM houses),
+n AS (SELECT coalesce(cast({q('GrLivArea')} AS double), med) AS a, cast({q('OverallQual')} AS double) AS b FROM h),
+z AS (SELECT (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS a, (b - avg(b) OVER ()) / stddev_pop(b) OVER () AS b FROM n),
+lv AS (SELECT 'MSZoning' AS c, coalesce({q('MSZoning')}, '__missing__') AS v, count(*) AS n FROM h GROUP BY 2
+       UNION ALL SELECT 'built', built, count(*) FROM h GROUP BY 2)
+SELECT slot, count(*) AS filled, round(sum(v * v * v), 3) AS cubes FROM (
+  SELECT 'GrLivArea_value' AS slot, a AS v FROM z UNION ALL SELECT 'OverallQual_value', b FROM z) x GROUP BY slot
+UNION ALL
+SELECT c || '_is_' || CASE WHEN n < {RARE_BELOW} THEN '__infrequent__' ELSE v END AS slot, cast(sum(n) AS bigint), cast(sum(n) AS double)
+FROM lv GROUP BY 1"""
+
+
+@query("prepared_slots", with_fixtures("houses", PREPARED_SQL))
+def prepared_slots(spark, sf):
+    """What the vector slots add up to: imputed and scaled numbers, kept and rare levels."""
+    houses = fixture(spark, sf, "houses").select(
+        "Id", "GrLivArea", "OverallQual", "MSZoning", F.col("YearBuilt").cast("string").alias("built")
+    )
+    out = FeaturePrep(exclude=["Id"], scaleNumeric=True, minFrequency=RARE_BELOW).fit(houses).transform(houses)
+    names = F.array(*[F.lit(n) for n in feature_names(out)])
+    cells = out.select(F.posexplode(vector_to_array("features")).alias("at", "v")).where("v <> 0")
+    # feature vectors have far fewer slots than the table has rows, so this sums up before the shuffle
+    sums = cells.groupBy("at").agg(F.count(F.lit(1)).alias("filled"), F.sum(F.pow("v", F.lit(3))).alias("cubes"))
+    return rounded(sums.select(F.get(names, F.col("at")).alias("slot"), "filled", "cubes"), 3)
+
+
+@query(
+    "union_of_folds",
+    with_fixtures("cv", f"SELECT kaggle_id, model_id, round(y_pred_oof, 4) AS y_pred_oof, cast({hash_bucket('kaggle_id', '42:fold', K)} AS integer) AS fold FROM cv"),
+)
+def union_of_folds(spark, sf):
+    """Parts by fold put together again: each row once."""
+    cv = folds.assign_folds(fixture(spark, sf, "cv").select("kaggle_id", "model_id", "y_pred_oof"), "kaggle_id", K)
+    return rounded(encode.union_all([cv.where(F.col("fold") == f) for f in range(K)]))
+
+
 # --- Spark ML: results depend on the learner, so the rows are checked here and the rest in tests ---
 
 FEATURES = ["GrLivArea", "OverallQual", "TotalBsmtSF", "GarageArea", "MSZoning", "KitchenQual", "MasVnrType"]
