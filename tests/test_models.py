@@ -123,6 +123,18 @@ def test_every_id_is_predicted_once_out_of_fold(table):
     assert sorted(r["Id"] for r in oof.collect()) == sorted(r["Id"] for r in table.collect())
 
 
+def test_learners_share_fitted_preprocessing(table):
+    preps = training.FittedPreps()
+    make = lambda t: regressors.linear_regression("SalePrice", t, ["Id"])
+    raw, log = preps.fit(make("raw"), table, "a"), preps.fit(make("log"), table, "a")
+    other = preps.fit(make("raw"), table.where("Id % 2 = 0"), "b")
+    assert raw.model.stages[0] is log.model.stages[0] and raw.model.stages[0] is not other.model.stages[0]
+    alone = make("raw").fit(table)
+    a = raw.transform(table).select("Id", "prediction").orderBy("Id").collect()
+    b = alone.transform(table).select("Id", "prediction").orderBy("Id").collect()
+    assert all(x["prediction"] == pytest.approx(y["prediction"]) for x, y in zip(a, b))
+
+
 def test_gradient_is_the_slope_of_the_loss():
     rng = np.random.default_rng(0)
     shapes = mlp.layer_shapes(3, (4, 2))
