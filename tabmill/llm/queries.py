@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.llm import chat, hostrules, slots
+from tabmill.llm import binpieces, chat, covering, hostrules, lexicon, slots, vbyte
 from tabmill.session import scratch_path
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+#: Ids of the byte vocabulary, the special one included; the id that ends a document.
+BYTE_BPE_IDS, END_ID = 50_257, 2
 N_SHARDS = 40
 #: A conversation whose texts are marks of the template.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -27,6 +32,23 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns.unionByName(marks)))
 
 
+def op3_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = covering.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vbyte.store_corpus(_table(spark, sf_dir, "documents"), BYTE_BPE, END_ID, BYTE_BPE_IDS)
+    return vbyte.read_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = binpieces.pack(_table(spark, sf_dir, "documents"), WORD_BPE, END_ID)
+    return sequences.select(
+        "doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostrules.judge(_table(spark, sf_dir, "documents")).drop("host")
 
@@ -39,10 +61,19 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = lexicon.encode_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
+    return lexicon.digest(lexicon.decode_documents(encoded, BYTE_BPE))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op3_covering_simhash": op3_covering_simhash,
+    "op4_token_files": op4_token_files,
+    "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_sharding": op8_sharding,
+    "op10_transducer_bpe": op10_transducer_bpe,
 }
 
 SQL = {
