@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.llm import binpieces, chat, covering, hostrules, lexicon, slots, vbyte
+from tabmill.llm import binpieces, chat, covering, hostrules, lexicon, slots, suffixes, vbyte
 from tabmill.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -61,6 +61,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return cleaned.select(
+        "doc_id", (F.octet_length("kept") + removed).alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = lexicon.encode_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
     return lexicon.digest(lexicon.decode_documents(encoded, BYTE_BPE))
@@ -73,6 +82,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_sharding": op8_sharding,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_transducer_bpe": op10_transducer_bpe,
 }
 
