@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.llm.wordwise import encode_texts, is_word, pieces_with_space, portions, whole
+from tabmill.llm.wordwise import MARKS, encode_texts, is_word, pieces_with_space, portions, whole
 from tabmill.session import shared_root
 
 #: Pieces that go into the lexicon, the most frequent of all documents first.
@@ -223,7 +223,7 @@ class Codec:
 
     def words(self, piece: str) -> list[bytes]:
         """A piece, as it stands in the text, cut into words; letters with at most a space before them are one word."""
-        word = piece.rstrip(".,")
+        word = piece.rstrip(MARKS)
         if is_word(word[1:] if word[:1] == " " else word):
             return [word.encode(), piece[len(word):].encode()] if len(word) < len(piece) else [word.encode()]
         return [piece[a:b].encode() for _, (a, b) in self.split(piece)]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.llm import binpieces, chat, covering, hostrules, lexicon, slots, suffixes, vbyte
+from tabmill.llm import binpieces, chat, collisions, covering, hostrules, lexicon, slots, suffixes, vbyte
 from tabmill.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +42,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vbyte.read_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_collision_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequences = binpieces.pack(_table(spark, sf_dir, "documents"), WORD_BPE, END_ID)
     return sequences.select(
@@ -79,6 +83,7 @@ QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_covering_simhash": op3_covering_simhash,
     "op4_token_files": op4_token_files,
+    "op5_collision_vectors": op5_collision_vectors,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_sharding": op8_sharding,

@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -26,9 +26,12 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 SPACE_RUN = "[" + re.sub(r"\\[xu]([0-9a-f]+)", r"\\x{\1}", SPACE) + "][ \\n]"
 _PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 AS_IS = "\n\n"
-#: Pieces a worker keeps encoded, about 200 bytes each, and bytes of text it takes at once. Only memory and speed depend on them.
-KEPT_PIECES = 500_000
-PORTION_BYTES = 24_000_000
+#: Marks that never share a token with the letters before them.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Pieces of each of two generations that a worker keeps encoded, about 160 bytes each, and bytes of text it takes at once.
+#: Only memory and speed depend on them.
+KEPT_PIECES = 350_000
+PORTION_BYTES = 8_000_000
 
 
 def whole(piece: str) -> str:
@@ -96,19 +99,33 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.cut, self.form, self.bare = (pieces_with_space, whole, AS_IS) if keeps_space else (words_without_space, str, "")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _encode_new(self, pieces: Iterable[str]) -> None:
+        """Take pieces over from the older generation or encode them."""
+        known, older = self.known, self.older
+        new = []
+        for piece in dict.fromkeys(pieces):
+            if piece not in known:
+                ids = older.get(piece)
+                if ids is None:
+                    new.append(piece)
+                else:
+                    known[piece] = ids
+        done = self.tokenizer.encode_batch_fast(list(map(self.form, new)), add_special_tokens=False)
+        for piece, encoded in zip(new, done, strict=True):
+            known[piece] = array("I", encoded.ids).tobytes()
 
     def _distinct(self, pieces: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        ended = {}  # words with full stops or commas behind them, which are tokens of their own
+            self.older, self.known = self.known, {}
+        ended = {}  # words with marks behind them, which are tokens of their own
         for piece in pieces:
-            if piece[-1:] in (".", ",") and is_word(word := piece.rstrip(".,")):
+            word = piece.rstrip(MARKS)
+            if len(word) < len(piece) and is_word(word):
                 ended[piece] = word, self.bare + piece[len(word):]
-        needed = chain((p for p in pieces if p not in ended), chain.from_iterable(ended.values()))
-        new = [p for p in dict.fromkeys(needed) if p not in self.known]
-        done = self.tokenizer.encode_batch_fast(list(map(self.form, new)), add_special_tokens=False)
+        self._encode_new(chain((p for p in pieces if p not in ended), chain.from_iterable(ended.values())))
         known = self.known
-        known |= {p: array("I", e.ids).tobytes() for p, e in zip(new, done, strict=True)}
         return [known[ended[p][0]] + known[ended[p][1]] if p in ended else known[p] for p in pieces]
 
     def encode(self, texts: pa.Array) -> pa.Array:
