@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.llm import binpieces, chat, collisions, covering, hostrules, lexicon, slots, suffixes, vbyte
+from tabmill.llm import binpieces, chat, collisions, covering, hostrules, lexicon, nbsvm, slots, suffixes, vbyte
 from tabmill.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +32,13 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns.unionByName(marks)))
 
 
+def op2_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = nbsvm.train(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", nbsvm.is_held_out(F.col("doc_id")).alias("held_out"), nbsvm.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op3_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = covering.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -81,6 +88,7 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_nb_support_vectors": op2_nb_support_vectors,
     "op3_covering_simhash": op3_covering_simhash,
     "op4_token_files": op4_token_files,
     "op5_collision_vectors": op5_collision_vectors,
