@@ -61,7 +61,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [fingerprint(t.as_py()) for t in batch.column(1)]
-        yield pa.record_batch([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+        yield pa.record_batch([batch.column(0), pa.array(found, pa.int64()), batch.column(2)], ["doc_id", "fp", "text_hash"])
 
 
 def masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -136,9 +136,9 @@ def near_edges(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Da
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) of every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    prints = materialize(rows.mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
+    """(doc_id, fp, text_hash, component_id) of every row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    prints = materialize(rows.mapInArrow(_fingerprints, "doc_id long, fp long, text_hash long"), "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     found = components(near_edges(nodes, radius))
     grouped = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -147,4 +147,15 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
     grouped = materialize(grouped, "node-components")
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
     named = materialize(grouped.join(least, "component").select("fp", "component_id"), "node-names")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "text_hash", "component_id")
+
+
+def keep_first(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of every component, the one with the smallest id, whole; rows without id where the component has none.
+
+    Equal texts of one id stay once; different ones of one id that are near-duplicates stay together.
+    """
+    kept = near_duplicates(docs, radius, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash")).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_kept")) & (F.xxhash64(text_col) == F.col("_hash"))
+    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])

@@ -45,23 +45,30 @@ def _words_in_repeated(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(_let(ordered, covered))
 
 
-def count_rules(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """Per row: id, host, the counters of the text, and which rules it fails."""
+def count_rules(
+    docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", carry: bool = False
+) -> DataFrame:
+    """Per row: id, host, the counters of the text, and which rules it fails; with ``carry`` the whole row as ``row``."""
     words = F.filter(F.split("text", SPACES), lambda w: w != "")
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\f\r", "")) > 0)
     windows = F.transform(
         F.slice("words", 1, F.greatest(F.size("words") - 2, F.lit(0))),
         lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)),
     )
+    first = [F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.coalesce(text_col, F.lit("")).alias("text")]
+    kept = ["doc_id", "host"]
+    if carry:
+        first.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        kept.append("row")
     counted = (
-        docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.coalesce(text_col, F.lit("")).alias("text"))
+        docs.select(*first)
         .select(
-            "doc_id", "host", words.alias("words"), lines.alias("lines"),
+            *kept, words.alias("words"), lines.alias("lines"),
             F.length(F.translate("text", " \t\n\x0b\f\r", "")).alias("word_chars"),
             (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).alias("n_symbols"),
         )
         .select(
-            "doc_id", "host", "word_chars", "n_symbols", F.size("words").alias("n_words"), F.size("lines").alias("n_lines"),
+            *kept, "word_chars", "n_symbols", F.size("words").alias("n_words"), F.size("lines").alias("n_lines"),
             (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
             windows.alias("windows"),
         )
@@ -110,12 +117,23 @@ def host_verdicts(rates: DataFrame) -> DataFrame:
     return judged.select("host", "n_docs", *shrunk, rejected.alias("host_rejected"))
 
 
+def _passes() -> Column:
+    return ~F.col("fails_base") & ~F.coalesce("host_rejected", F.lit(False))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text") -> DataFrame:
     """Counters of every row, ``base_failed`` and ``kept``; texts are read once, and only counters are stored."""
     counted = materialize(count_rules(docs, id_col, host_col, text_col), "rule-counts")
     verdicts = materialize(host_verdicts(host_rates(counted)), "host-verdicts")
     return counted.join(verdicts.select("host", "host_rejected"), "host", "left").select(
         "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        F.col("fails_base").alias("base_failed"),
-        (~F.col("fails_base") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"),
+        F.col("fails_base").alias("base_failed"), _passes().alias("kept"),
     )
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The rows that ``judge`` keeps, whole. Rows are stored with their flags, so texts are read once and not shuffled."""
+    counted = count_rules(docs, id_col, host_col, text_col, carry=True)
+    counted = materialize(counted.select("host", "row", *[f"fails_{r}" for r in RULES]), "rule-flags")
+    verdicts = materialize(host_verdicts(host_rates(counted)), "host-verdicts")
+    return counted.join(verdicts.select("host", "host_rejected"), "host", "left").where(_passes()).select("row.*")

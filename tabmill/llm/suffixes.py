@@ -276,10 +276,11 @@ def _sort_shards(length: int):
     return run
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id"), text.alias("text")).select(
-        "doc_id", (F.crc32("text") % F.lit(1 << 31)).alias("tie"), "text"
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")] if carry else []
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id"), text.alias("text"), *rest).select(
+        "doc_id", (F.crc32("text") % F.lit(1 << 31)).alias("tie"), "text", *(["row"] if carry else [])
     )
 
 
@@ -346,36 +347,34 @@ def on_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int,
     return out
 
 
+_REMOVED = pa.struct([
+    ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("kept", pa.binary()),
+])
+
+
 def _remove(whole_characters: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, spans = [], []
-            for text, found in zip(_texts(batch), batch["found"].to_pylist(), strict=True):
-                cuts = merged((s["start"], s["start"] + s["size"]) for s in found or [])
-                if whole_characters:
-                    cuts = on_characters(text, cuts)
-                spans.append([{"start": a, "stop": b} for a, b in cuts])
-                kept.append(kept_bytes(text, cuts))
-            yield pa.record_batch([
-                batch["doc_id"], batch["tie"], pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                pa.array(kept, pa.binary()),
-            ], ["doc_id", "tie", "spans", "kept"])
+    @F.arrow_udf("spans array<struct<start:long,stop:long>>, kept binary")
+    def removed(texts: pa.Array, found: pa.Array) -> pa.Array:
+        out = []
+        for text, cuts in zip(texts.to_pylist(), found.to_pylist(), strict=True):
+            cuts = merged((s["start"], s["start"] + s["size"]) for s in cuts or [])
+            if whole_characters:
+                cuts = on_characters(text, cuts)
+            out.append({"spans": [{"start": a, "stop": b} for a, b in cuts], "kept": kept_bytes(text, cuts)})
+        return pa.array(out, _REMOVED)
 
-    return run
+    return removed
 
 
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", whole_characters: bool = False
 ) -> DataFrame:
-    """(doc_id, tie, spans, kept): the maximal runs removed from every text, and its other bytes.
+    """(row, spans, kept): the other columns of every row, the maximal runs removed from its text, and its other bytes.
 
     With ``whole_characters`` a run leaves characters alone that it covers only in part, so what is kept is text.
     """
     found = repeated_spans(docs, length, id_col, text_col).groupBy("doc_id", "tie").agg(
         F.collect_list(F.struct("start", "size")).alias("found")  # two for each stretch of a text at most
     )
-    joined = _keyed(docs, id_col, text_col).join(found, ["doc_id", "tie"], "left").select("doc_id", "tie", "text", "found")
-    cleaned = joined.mapInArrow(
-        _remove(whole_characters), "doc_id long, tie long, spans array<struct<start:long,stop:long>>, kept binary"
-    )
-    return cleaned.withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
+    joined = _keyed(docs, id_col, text_col, carry=True).join(found, ["doc_id", "tie"], "left")
+    return joined.select("row", _remove(whole_characters)("text", "found").alias("x")).select("row", "x.spans", "x.kept")
