@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmill.llm.wordwise import MARKS, encode_texts, is_word, pieces_with_space, portions, whole
-from tabmill.session import shared_root
+from tabmill.session import materialize, shared_root
 
 #: Pieces that go into the lexicon, the most frequent of all documents first.
 LEXICON_PIECES = 1 << 17
@@ -266,10 +266,22 @@ def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def frequent_pieces(docs: DataFrame, text_col: str = "text", n: int = LEXICON_PIECES) -> list[str]:
-    """The most frequent pieces of all documents; tasks count before the shuffle, n rows come to the driver."""
-    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_count_pieces, "piece string, n long")
-    top = counts.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(n)
-    return [r["piece"] for r in top.collect()]
+    """The most frequent pieces of all documents, n at most: those at or above the least count that leaves no more.
+
+    Tasks count before the shuffle. Counts are put in steps of an eighth of a doubling to find that count, so the driver
+    gets a row per step and then n pieces at most, whatever the corpus.
+    """
+    pieces = docs.select(F.col(text_col).alias("text")).mapInArrow(_count_pieces, "piece string, n long")
+    counts = materialize(
+        pieces.groupBy("piece").agg(F.sum("n").alias("n")).withColumn("step", F.floor(8 * F.log2("n")).cast("int")), "piece-counts"
+    )
+    left, least = n, None
+    for row in counts.groupBy("step").count().orderBy(F.desc("step")).collect():
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row["step"]
+    return [] if least is None else [r["piece"] for r in counts.where(F.col("step") >= least).select("piece").collect()]
 
 
 def build(pieces: Iterable[str], tokenizer_path: str) -> np.ndarray:
@@ -336,22 +348,27 @@ def decode_documents(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """Number of ids, and digests of the ids as decimal numbers and of the decoded text."""
+def digest_documents(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", n_pieces: int = LEXICON_PIECES
+) -> DataFrame:
+    """Per row the number of ids, a digest of the ids as decimal numbers, and one of the text decoded from them.
+
+    Encoding and decoding take place in one step, so a task needs one Python worker.
+    """
+    name = publish(docs.sparkSession, build(frequent_pieces(docs, text_col, n_pieces), tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decimal: dict[int, str] = {}
-        for batch in batches:
-            counts, digests = [], []
-            for ids in batch.column(1).to_pylist():
-                listed = array("I", ids)
-                decimal |= {i: str(i) for i in set(listed) if i not in decimal}
-                digests.append(sha256(",".join(map(decimal.__getitem__, listed)).encode()).hexdigest())
-                counts.append(len(listed))
-            yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(digests), batch.column(2)],
-                                  ["doc_id", "n_tokens", "ids_sha256", "text"])
-
-    counted = decoded.select("doc_id", "ids", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, text string")
-    return counted.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
-    )
+        codec, decimal = _codec(tokenizer_path, name), {}
+        for portion in (p for batch in batches for p in portions(batch)):
+            columns: tuple[list, list, list] = ([], [], [])
+            for scalar in codec.encode(portion.column(1)):
+                ids = scalar.as_py()
+                numbers = array("I", ids)
+                decimal |= {i: str(i) for i in set(numbers) if i not in decimal}
+                columns[0].append(len(numbers))
+                columns[1].append(sha256(",".join(map(decimal.__getitem__, numbers)).encode()).hexdigest())
+                columns[2].append(sha256(codec.decode(ids).encode()).hexdigest())
+            yield pa.record_batch([portion.column(0), *map(pa.array, columns)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -76,14 +76,13 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return cleaned.select(
-        "doc_id", (F.octet_length("kept") + removed).alias("n_bytes"), removed.alias("n_removed"),
+        "row.doc_id", (F.octet_length("kept") + removed).alias("n_bytes"), removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 
 def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = lexicon.encode_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
-    return lexicon.digest(lexicon.decode_documents(encoded, BYTE_BPE))
+    return lexicon.digest_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
 QUERIES = {

@@ -30,7 +30,7 @@ AS_IS = "\n\n"
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Pieces of each of two generations that a worker keeps encoded, about 160 bytes each, and bytes of text it takes at once.
 #: Only memory and speed depend on them.
-KEPT_PIECES = 350_000
+KEPT_PIECES = 250_000
 PORTION_BYTES = 8_000_000
 
 
