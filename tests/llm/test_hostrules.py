@@ -1,0 +1,63 @@
+"""Counters against plain Python, verdicts on hosts."""
+
+import random
+import re
+
+from tabmill.llm import hostrules
+
+SCHEMA = "doc_id long, text string, source string, host string, row int, kept string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, s, "clash", 1, "clash") for i, t, s in rows], SCHEMA)
+
+
+def counters(text):
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {i + d for i, w in enumerate(windows) if windows.count(w) > 1 for d in range(3)}
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def test_counters(spark):
+    rng = random.Random(1)
+    words = ["a", "b", "é", "日本", "the", "#", "x|y", " ", "\x1c"]
+    texts = ["", " ", "\n\n", "a", "a a a a", "a b c a b c", "a b c\na b c\n\na b c ", None, "$%&*<>#|", "x\x0by\x0cz\r\n"]
+    texts += ["".join(rng.choice(words) + rng.choice([" ", "  ", "\n", "\t"]) for _ in range(rng.randint(0, 80))) for _ in range(150)]
+    texts.append("one two three four " * 5000)
+    got = {r["doc_id"]: r for r in hostrules.judge(table(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts[:-1]):
+        r = got[i]
+        want = counters(t)
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want, t
+        assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+    assert got[len(texts) - 1]["n_repeat_words"] == 20000
+
+
+GOOD = " ".join(f"word{i}" for i in range(60))
+
+
+def test_hosts_fall_as_a_whole_and_small_ones_by_their_prior(spark):
+    rows = [(i, GOOD if i % 10 == 0 else "bad", "rotten") for i in range(200)]
+    rows += [(1000 + 100 * h + i, GOOD if i else "bad", f"fine{h}") for h in range(8) for i in range(20)]
+    rows += [(5000, "bad", "single"), (6000, GOOD, None), (6001, "bad", None), (None, GOOD, "fine0")]
+    docs = table(spark, rows)
+    got = {r["doc_id"]: r["kept"] for r in hostrules.judge(docs).collect()}
+    text = {i: t for i, t, _ in rows}
+    for i, _, source in rows:
+        assert got[i] == (text[i] == GOOD and source != "rotten"), (i, source)
+    kept = hostrules.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == sorted((i or -1) for i, k in got.items() if k)
+    verdicts = {r["host"]: r for r in hostrules.host_verdicts(hostrules.host_rates(hostrules.count_rules(docs))).collect()}
+    assert verdicts["single"]["rate_base"] < 1.0 and verdicts["rotten"]["host_rejected"] and not verdicts["fine0"]["host_rejected"]
+
+
+def test_empty_table_and_hosts_all_alike(spark):
+    assert hostrules.judge(table(spark, [])).count() == 0
+    assert hostrules.keep_good(table(spark, [])).count() == 0
+    same = hostrules.judge(table(spark, [(i, GOOD, f"s{i % 3}") for i in range(9)] * 2)).collect()
+    assert len(same) == 18 and all(r["kept"] for r in same)
