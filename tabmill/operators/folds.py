@@ -9,36 +9,44 @@ from tabmill.functions.checks import col
 from tabmill.operators.ranks import values_at_ranks
 
 
-def hash_bucket(key: Column, salt: str, buckets: int) -> Column:
-    """0..buckets-1 from 32 bits of an md5 over key and salt."""
-    digest = F.md5(F.concat(key.cast("string"), F.lit(salt)))
+def hash_bucket(key: Column, salt: str, buckets: int, missing: Column | None = None) -> Column:
+    """0..buckets-1 from 32 bits of an md5 over key and salt; a missing key counts as ``missing``, so no row is without bucket."""
+    key = F.coalesce(key.cast("string"), missing if missing is not None else F.lit(""))
+    digest = F.md5(F.concat(key, F.lit(salt)))
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
 
 
+def _content(df: DataFrame, key: str) -> Column:
+    """The other columns as text: spreads the rows whose key is missing."""
+    return F.xxhash64(*[col(c) for c in df.columns if c != key]).cast("string") if len(df.columns) > 1 else F.lit("")
+
+
 def mark_holdout(df: DataFrame, key: str, percent: int = 20, seed: int = 42, name: str = "is_holdout") -> DataFrame:
-    """Flag a share of the rows as hold-out; the salt differs from the one of the folds."""
-    return df.withColumn(name, hash_bucket(col(key), f"{seed}:split", 100) < percent)
+    """Flag a share of the rows as hold-out; the salt differs from the one of the folds. Rows without key go by their content."""
+    return df.withColumn(name, hash_bucket(col(key), f"{seed}:split", 100, _content(df, key)) < percent)
 
 
 def assign_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
-    """Shuffled folds 0..k-1."""
-    return df.withColumn(name, hash_bucket(col(key), f"{seed}:fold", k))
+    """Shuffled folds 0..k-1. Rows without key go by their content."""
+    return df.withColumn(name, hash_bucket(col(key), f"{seed}:fold", k, _content(df, key)))
 
 
 def contiguous_folds(df: DataFrame, key: str, k: int = 5, name: str = "fold") -> DataFrame:
     """Unshuffled folds: runs of the rows in key order, the first n % k folds one row longer.
 
     Only the k - 1 keys at which a new fold starts are looked up; the rows themselves are
-    neither sorted nor shuffled. Keys must be unique and present.
+    neither sorted nor shuffled. Keys must be unique; missing ones come first and lie in one fold, the first, with the
+    rows that follow them.
     """
-    n = df.count()
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(col(key).isNull()).alias("missing")).first()
+    n, missing = counted["rows"], counted["missing"]
     starts, position = [], 0
     for f in range(k - 1):
         position += n // k + (1 if f < n % k else 0)
         if position < n:
-            starts.append(position)
-    cuts = values_at_ranks(df, key, starts)
+            starts.append(max(position - missing, 0))
+    cuts = values_at_ranks(df, key, starts) if n > missing else []
     fold = F.lit(0)
     for cut in cuts:
-        fold = fold + (col(key) >= F.lit(cut)).cast("int")
+        fold = fold + F.coalesce((col(key) >= F.lit(cut)).cast("int"), F.lit(0))
     return df.withColumn(name, fold)

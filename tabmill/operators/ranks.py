@@ -5,6 +5,9 @@ those of one part (a fold). Every round counts the rows of the current intervals
 Spark sums up within each input partition, keeps for each target the bin its rank falls into,
 and looks closer there. Once an interval has few enough distinct values it is counted by value.
 What crosses a shuffle or reaches the driver is bounded by targets and bins, not by rows.
+
+Both ways of counting give the same values for every type that has an order: numbers, times and text are put in bins by a
+number that never decreases with the value.
 """
 
 from __future__ import annotations
@@ -21,8 +24,10 @@ from tabmill.operators.profile import long_form
 BINS = 512
 # Distinct values of an interval that are counted one by one instead of by bins.
 COUNT_VALUES_UP_TO = 100_000
-# Distinct values of a column that one aggregation buffer may hold (an upper estimate is checked).
+# Distinct values of a column, as estimated, that one aggregation buffer may hold.
 BUFFER_VALUES_UP_TO = 500_000
+# Parts (folds) a table may have; one row for each and column reaches the driver.
+MOST_PARTS = 10_000
 
 _NO_PART = -1
 
@@ -51,15 +56,18 @@ def _located(counts: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def _spans(cells: DataFrame) -> dict[str, dict]:
-    """Per column: rows of each part, smallest and largest value, upper estimate of distinct values."""
+    """Per column: rows of each part, smallest and largest value, estimated distinct values."""
     rows = cells.groupBy("column", "part").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("value").alias("lo"),
         F.max("value").alias("hi"),
         F.approx_count_distinct("value").alias("levels"),
     )
+    found = rows.limit(MOST_PARTS + 1).collect()
+    if len(found) > MOST_PARTS:
+        raise ValueError(f"more than {MOST_PARTS} parts and columns: the part must be a fold")
     spans: dict[str, dict] = {}
-    for r in rows.collect():
+    for r in found:
         s = spans.setdefault(r["column"], {"parts": {}, "lo": r["lo"], "hi": r["hi"], "levels": 0})
         s["parts"][r["part"]] = r["n"]
         s["lo"], s["hi"] = min(s["lo"], r["lo"]), max(s["hi"], r["hi"])
@@ -81,6 +89,7 @@ def _select(
             T.StructField("lo_at", value_type),
             T.StructField("hi_at", value_type),
             T.StructField("by_value", T.BooleanType()),
+            T.StructField("skip_bytes", T.IntegerType()),
         ]
     )
     done: dict[tuple[str, int, int], object] = {}
@@ -98,7 +107,8 @@ def _select(
             place = (key[0], lo, hi)
             small[place] = max(small.get(place, 0), size)
         intervals = spark.createDataFrame(
-            [(c, i, lo, hi, small[(c, lo, hi)] <= count_up_to) for (c, lo, hi), i in places.items()], interval_schema
+            [(c, i, lo, hi, small[(c, lo, hi)] <= count_up_to, _common_bytes(lo, hi)) for (c, lo, hi), i in places.items()],
+            interval_schema,
         )
         lookup: dict[tuple[int, int, int], list] = {}
         for key, (rank, lo, hi, _) in open_targets.items():
@@ -110,7 +120,7 @@ def _select(
         inside = cells.join(
             F.broadcast(intervals),
             (cells["column"] == intervals["column"]) & (cells["value"] >= F.col("lo_at")) & (cells["value"] <= F.col("hi_at")),
-        ).select(cells["column"], "part", "value", "interval", "by_value", "lo_at", "hi_at")
+        ).select(cells["column"], "part", "value", "interval", "by_value", "lo_at", "hi_at", "skip_bytes")
         found = []
         if any(small[p] > count_up_to for p in places):
             binned = (
@@ -139,6 +149,14 @@ def _select(
     return done
 
 
+def _common_bytes(lo: object, hi: object) -> int:
+    """Bytes that all texts between the two begin with; 0 for other values."""
+    if not isinstance(lo, str) or not isinstance(hi, str):
+        return 0
+    pairs = zip(lo.encode(), hi.encode(), strict=False)
+    return next((i for i, (a, b) in enumerate(pairs) if a != b), min(len(lo.encode()), len(hi.encode())))
+
+
 def _bin(value: Column, lo: Column, hi: Column, value_type: T.DataType, bins: int) -> Column:
     """Equal-width bin; never decreases with the value, and both ends get bins of their own."""
     share = _distance(value, lo, value_type) / _distance(hi, lo, value_type)
@@ -147,10 +165,24 @@ def _bin(value: Column, lo: Column, hi: Column, value_type: T.DataType, bins: in
 
 
 def _distance(value: Column, origin: Column, value_type: T.DataType) -> Column:
-    """Distance as double, without overflow for integers."""
-    if isinstance(value_type, T.IntegralType):
+    """Distance as double, without overflow for integers. ``value`` lies at or above ``origin``, and both in an interval."""
+    if isinstance(value_type, T.StringType):
+        return _text_number(value) - _text_number(origin)
+    if isinstance(value_type, T.DateType):
+        return (F.unix_date(value) - F.unix_date(origin)).cast("double")
+    if isinstance(value_type, T.TimestampType):
+        return (F.unix_micros(value) - F.unix_micros(origin)).cast("double")
+    if isinstance(value_type, (T.IntegralType, T.BooleanType)):
         return (value.cast("decimal(20,0)") - origin.cast("decimal(20,0)")).cast("double")
-    return value.cast("double") - origin.cast("double")
+    if isinstance(value_type, T.NumericType):
+        return value.cast("double") - origin.cast("double")
+    raise TypeError(f"no order statistics for {value_type.simpleString()}")
+
+
+def _text_number(value: Column) -> Column:
+    """The six bytes behind those that all texts of the interval begin with, as a number; shorter texts count as ending in zeros."""
+    digits = F.hex(F.substring(value.cast("binary"), F.col("skip_bytes") + 1, F.lit(6)))
+    return F.conv(F.rpad(digits, 12, "0"), 16, 10).cast("double")
 
 
 def values_at_ranks(
@@ -159,6 +191,7 @@ def values_at_ranks(
     """The values at 0-based ranks of a column in ascending order, missing values left out."""
     if not ranks:
         return []
+    _distance(F.lit(0), F.lit(0), df.schema[column].dataType)  # types without an order are refused at any size
     cells = df.select(F.lit(column).alias("column"), F.lit(0).alias("part"), col(column).alias("value")).where(
         "value is not null"
     )
@@ -218,9 +251,3 @@ def medians(
         values = [found[(c, skip, rank)] for rank in ranks]
         result[skip if leave_out else None][c] = sum(values) / len(values)
     return result
-
-
-def approx_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> dict[str, float | None]:
-    """Medians within 1/accuracy of the rank, from one aggregate row."""
-    row = df.agg(*[F.percentile_approx(col(c).cast("double"), 0.5, accuracy).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    return {c: row[f"m{i}"] for i, c in enumerate(columns)}
