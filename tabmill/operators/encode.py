@@ -14,6 +14,8 @@ from tabmill.operators.profile import level_counts, modes
 from tabmill.operators.ranks import medians
 
 INFREQUENT = "__infrequent__"
+# Kept levels that a plan may hold as literals; a parameter of every operator that lists them.
+MAX_KEPT_LEVELS = 5_000
 
 
 # --- numbers ---
@@ -26,8 +28,12 @@ def impute_global(df: DataFrame, median_columns: Sequence[str], mode_columns: Se
         fills |= {c: m for c, m in medians(df, median_columns)[None].items() if m is not None}
     if mode_columns:
         # one row per named column
-        fills |= {r["column"]: r["mode"] for r in modes(df, mode_columns).collect()}
-    exprs = {c: F.coalesce(col(c).cast("double") if c in median_columns else col(c), F.lit(v)) for c, v in fills.items()}
+        fills |= {r["column"]: r["mode"] for r in modes(df, mode_columns).collect() if r["mode"] is not None}
+    exprs = {
+        c: F.coalesce(col(c).cast("double"), F.lit(v)) if c in median_columns
+        else F.coalesce(col(c), F.lit(v).cast(df.schema[c].dataType))
+        for c, v in fills.items()
+    }
     return df.withColumns(exprs) if exprs else df
 
 
@@ -98,40 +104,72 @@ def levels(df: DataFrame, columns: Sequence[str], min_frequency: int | float = 1
     return counts.withColumn("kept", F.col("n") >= min_frequency)
 
 
-def group_rare(df: DataFrame, level_table: DataFrame, columns: Sequence[str]) -> DataFrame:
+def group_rare(df: DataFrame, level_table: DataFrame, columns: Sequence[str], max_levels: int = MAX_KEPT_LEVELS) -> DataFrame:
     """Replace rare levels by one marker and levels not seen in fitting by NULL.
 
-    The level table is joined column by column: Spark broadcasts it while its measured size
-    allows, and otherwise joins by shuffle, where adaptive execution splits frequent levels.
+    Kept levels are a bounded list that the plan holds, and rows that have one do not take part in the look-up of rare
+    levels: only rows with a rare or unseen level are joined by it, so a frequent level is no hot key.
     """
+    kept = kept_levels(level_table, columns, max_levels)
     out = fill_category(df, columns)
     for c in columns:
-        known = level_table.where(F.col("column") == c).select(
-            F.col("value").alias("_value"), F.when(F.col("kept"), F.col("value")).otherwise(INFREQUENT).alias("_level")
-        )
-        out = out.join(known, col(c) == F.col("_value"), "left").withColumn(c, F.col("_level")).drop("_value", "_level")
+        rare = level_table.where((F.col("column") == c) & ~F.col("kept")).select(F.col("value").alias("_value"))
+        out = _marked(out, c, kept.get(c, []), rare)
     return out
 
 
-def one_hot(df: DataFrame, level_table: DataFrame, columns: Sequence[str], max_columns: int = 5_000) -> DataFrame:
+def kept_levels(level_table: DataFrame, columns: Sequence[str], max_levels: int = MAX_KEPT_LEVELS) -> dict[str, list[str]]:
+    """The kept levels of each column in alphabetical order; more than ``max_levels`` in all are refused."""
+    kept = level_table.where(F.col("column").isin(list(columns)) & F.col("kept")).select("column", "value")
+    found = kept.limit(max_levels + 1).collect()
+    if len(found) > max_levels:
+        raise ValueError(f"more than {max_levels} kept levels: raise max_levels or the least frequency")
+    out: dict[str, list[str]] = {c: [] for c in columns}
+    for r in found:
+        out[r["column"]].append(r["value"])
+    return {c: sorted(v) for c, v in out.items()}
+
+
+def _with_rare(df: DataFrame, c: str, kept: list[str], rare: DataFrame) -> DataFrame:
+    """The table with ``_value``, which is set where column ``c`` has a rare level; ``rare`` has that one column."""
+    is_kept = col(c).isin(kept) if kept else F.lit(False)
+    return df.withColumn("_probe", F.when(~is_kept, col(c))).join(rare, F.col("_probe") == F.col("_value"), "left").drop("_probe")
+
+
+def _marked(df: DataFrame, c: str, kept: list[str], rare: DataFrame) -> DataFrame:
+    """Column ``c`` with rare levels as one marker and unseen ones as NULL."""
+    if INFREQUENT in kept:
+        raise ValueError(f"column {c} has a level {INFREQUENT!r}, which marks rare levels")
+    level = F.when(F.col("_value").isNotNull(), F.lit(INFREQUENT))
+    level = F.when(col(c).isin(kept), col(c)).otherwise(level) if kept else level
+    return _with_rare(df, c, kept, rare).withColumn(c, level).drop("_value")
+
+
+def level_column(column: str, level: str | None) -> str:
+    """Name of the 0/1 column of a level, or of all rare ones. Underscores of the column are doubled, so that names differ
+    wherever column or level do."""
+    return f"{column.replace('_', '__')}_rare" if level is None else f"{column.replace('_', '__')}_is_{level}"
+
+
+def one_hot(df: DataFrame, level_table: DataFrame, columns: Sequence[str], max_levels: int = MAX_KEPT_LEVELS) -> DataFrame:
     """One 0/1 column per kept level and one for all rare ones; unseen levels are 0 everywhere.
 
-    Every kept level becomes a column of the schema, so their number is checked.
+    Every kept level becomes a column of the schema, so ``max_levels`` bounds them. Names that the table has already are refused.
     """
-    wanted = level_table.select(
-        "column", F.when(F.col("kept"), F.col("value")).otherwise(INFREQUENT).alias("level")
-    ).where(F.col("column").isin(list(columns))).distinct()
-    found = wanted.limit(max_columns + 1).collect()
-    if len(found) > max_columns:
-        raise ValueError(f"more than {max_columns} levels: use the vector encoding of tabmill.ml.prep")
-    marked = group_rare(df, level_table, columns)
-    flags = {
-        f"{r['column']}_{r['level'].strip('_')}" if r["level"] == INFREQUENT else f"{r['column']}_{r['level']}": F.coalesce(
-            col(r["column"]) == F.lit(r["level"]), F.lit(False)
-        ).cast("int")
-        for r in sorted(found, key=lambda r: (r["column"], r["level"]))
-    }
-    return marked.withColumns(flags).drop(*columns)
+    kept = kept_levels(level_table, columns, max_levels)
+    rare = level_table.where(F.col("column").isin(list(columns)) & ~F.col("kept"))
+    with_rare = {r["column"] for r in rare.select("column").distinct().collect()}  # some of the columns named
+    names = [level_column(c, level) for c in columns for level in [*kept[c], *([None] if c in with_rare else [])]]
+    clashes = sorted(set(names) & (set(df.columns) - set(columns)))
+    if clashes or len(set(names)) < len(names):
+        raise ValueError(f"the table has columns of these names already: {clashes}")
+    out = fill_category(df, columns)
+    for c in columns:
+        if c in with_rare:
+            out = _with_rare(out, c, kept[c], rare.where(F.col("column") == c).select(F.col("value").alias("_value")))
+            out = out.withColumn(level_column(c, None), F.col("_value").isNotNull().cast("int")).drop("_value")
+    flags = {level_column(c, level): (col(c) == F.lit(level)).cast("int") for c in columns for level in kept[c]}
+    return out.withColumns(flags).drop(*columns)
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:

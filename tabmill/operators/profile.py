@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +60,7 @@ def type_counts(df: DataFrame) -> dict[str, int]:
 def mixed_content(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """String columns whose values are partly numbers and partly not."""
     names = list(columns) if columns is not None else string_columns(df)
-    numbers = lambda c: F.count_if(F.expr(f"try_cast(`{c}` as double) is not null"))
+    numbers = lambda c: F.count_if(col(c).try_cast("double").isNotNull())
     found = _per_column(df, names, values=lambda c: F.count(col(c)), numbers=numbers)
     return found.where("numbers > 0 and numbers < values")
 
@@ -88,21 +89,33 @@ def _most_frequent(order: Column) -> Column:
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """column, mode (smallest among equally frequent values)
+    """column, mode as text (the smallest of equally frequent values, in the order of the column's own type)
 
     Counting levels first keeps every aggregation buffer at one value per key; the built-in
-    ``mode`` would hold all levels of a column in one task.
+    ``mode`` would hold all levels of a column in one task. A column without values has no mode.
     """
-    counts = level_counts(df, columns)
-    return counts.groupBy("column").agg(_most_frequent(F.col("value")).alias("top")).select(
-        "column", F.col("top.value").alias("mode")
-    )
+    by_type: dict[str, list[str]] = {}
+    for c in columns:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    parts = []
+    for kind, names in by_type.items():
+        cells = long_form(df, names, cast=kind).where("value is not null")
+        counts = cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        top = counts.groupBy("column").agg(_most_frequent(F.col("value")).alias("top"))
+        parts.append(top.select("column", F.col("top.value").cast("string").alias("mode")))
+    return _for_each(df, columns, reduce(DataFrame.unionByName, parts))
+
+
+def _for_each(df: DataFrame, columns: Sequence[str], found: DataFrame) -> DataFrame:
+    """One row per column named, also of those that ``found`` has none for."""
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return names.join(found, "column", "left")
 
 
 def string_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """column, count, unique, top, freq"""
+    """column, count, unique, top, freq; a column without values counts 0"""
     names = list(columns) if columns is not None else string_columns(df)
-    return (
+    found = (
         level_counts(df, names)
         .groupBy("column")
         .agg(
@@ -112,6 +125,7 @@ def string_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         )
         .select("column", "count", "unique", F.col("first.value").alias("top"), (-F.col("first.neg")).alias("freq"))
     )
+    return _for_each(df, names, found).fillna(0, subset=["count", "unique"])
 
 
 def layer_report(**layers: DataFrame) -> DataFrame:

@@ -30,9 +30,34 @@ def test_rare_unseen_and_missing(spark, colours):
     wide = {r["id"]: r for r in encode.one_hot(new, table, ["c"]).collect()}
     flags = [c for c in wide[1].asDict() if c != "id"]
     assert len(flags) == 4 and sum(wide[3][f] for f in flags) == 0
-    assert all(sum(wide[i][f] for f in flags) == 1 for i in (1, 2, 4)) and wide[2]["c_infrequent"] == 1
-    with pytest.raises(ValueError, match="more than 2 levels"):
-        encode.one_hot(new, table, ["c"], max_columns=2)
+    assert all(sum(wide[i][f] for f in flags) == 1 for i in (1, 2, 4)) and wide[2]["c_rare"] == 1
+    with pytest.raises(ValueError, match="more than 2 kept levels"):
+        encode.one_hot(new, table, ["c"], max_levels=2)
+
+
+def test_names_of_levels_do_not_clash(spark):
+    rows = [(i, "b_c" if i % 2 else "infrequent", "c", "rare" if i == 0 else "often") for i in range(20)]
+    df = spark.createDataFrame(rows, "id int, a string, a_b string, k string")
+    table = encode.levels(df, ["a", "a_b"], 1).union(encode.levels(df, ["k"], 2))
+    wide = encode.one_hot(df, table, ["a", "a_b", "k"])
+    assert sorted(wide.columns) == sorted(["id", "a_is_b_c", "a_is_infrequent", "a__b_is_c", "k_is_often", "k_rare"])
+    first = wide.where("id = 0").first()
+    assert (first["a_is_infrequent"], first["a__b_is_c"], first["k_is_often"], first["k_rare"]) == (1, 1, 0, 1)
+    with pytest.raises(ValueError, match="names already"):
+        encode.one_hot(df.withColumn("k_rare", df["id"]), table, ["a", "a_b", "k"])
+    marker = spark.createDataFrame([(encode.INFREQUENT,)] * 3, "c string")
+    with pytest.raises(ValueError, match="marks rare levels"):
+        encode.group_rare(marker, encode.levels(marker, ["c"], 1), ["c"])
+
+
+def test_a_frequent_level_is_not_joined_by(spark):
+    rows = [("often",)] * 900 + [(f"rare{i}",) for i in range(100)]
+    df = spark.createDataFrame(rows, "c string")
+    table = encode.levels(df, ["c"], 10)
+    probes = encode._with_rare(df, "c", ["often"], table.where("not kept").selectExpr("value AS _value"))
+    assert probes.where("_value is not null").count() == 100
+    got = {r["c"]: r["count"] for r in encode.group_rare(df, table, ["c"]).groupBy("c").count().collect()}
+    assert got == {"often": 900, encode.INFREQUENT: 100}
 
 
 def test_scale_statistics(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabmill import defaults
-from tabmill.functions.checks import col, numeric_columns
+from tabmill.functions.checks import col, numeric_columns, present, require_columns
 from tabmill.functions.features import add_features
 from tabmill.functions.missing import fill_not_present, fill_zero, infer_types, normalize_missing
 from tabmill.functions.ordinal import encode_ordinals
@@ -408,13 +408,103 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 @query("one_hot_columns", f"{GAPS_SQL} SELECT c_custkey, " + ", ".join(
-    f"CASE WHEN segment = '{s}' THEN 1 ELSE 0 END AS \"segment_{s}\"" for s in SEGMENTS
-) + ", CASE WHEN segment IS NULL THEN 1 ELSE 0 END AS \"segment___missing__\" FROM gaps")
+    f"CASE WHEN segment = '{s}' THEN 1 ELSE 0 END AS \"segment_is_{s}\"" for s in SEGMENTS
+) + ", CASE WHEN segment IS NULL THEN 1 ELSE 0 END AS \"segment_is___missing__\" FROM gaps")
 def one_hot_columns(spark, sf):
     gaps = _gaps(spark, sf).select("c_custkey", "segment")
     return encode.one_hot(gaps, encode.levels(gaps, ["segment"], 1), ["segment"])
 
 
+@query(
+    "numeric_modes",
+    """SELECT * FROM (SELECT 'n' AS "column", cast(v AS varchar) AS "mode" FROM (SELECT c_custkey % 13 + 5 AS v, count(*) AS n FROM customer
+       WHERE c_custkey <= 26 GROUP BY 1 ORDER BY n DESC, v LIMIT 1) a)
+       UNION ALL SELECT 'd', cast(v AS varchar) FROM (SELECT cast(c_nationkey * 1.5E0 AS double) AS v, count(*) AS n FROM customer GROUP BY 1 ORDER BY n DESC, v LIMIT 1) b
+       UNION ALL SELECT 'none', NULL""",
+)
+def numeric_modes(spark, sf):
+    """Ties are settled by number, not by text; a column without values has no mode."""
+    customers = table(spark, sf, "customer").select(
+        F.when(F.col("c_custkey") <= 26, F.col("c_custkey") % 13 + 5).alias("n"), (F.col("c_nationkey") * F.lit(1.5)).alias("d"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    return profile.modes(customers, ["n", "d", "none"])
+
+
+@query(
+    "summary_with_empty_column",
+    """SELECT 'seg' AS "column", count(*) AS "count", count(DISTINCT c_mktsegment) AS "unique",
+              (SELECT c_mktsegment FROM customer GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top,
+              (SELECT count(*) FROM customer GROUP BY c_mktsegment ORDER BY 1 DESC LIMIT 1) AS freq FROM customer
+       UNION ALL SELECT 'none', 0, 0, NULL, NULL""",
+)
+def summary_with_empty_column(spark, sf):
+    customers = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("seg"), F.lit(None).cast("string").alias("none"))
+    return profile.string_summary(customers)
+
+
+@query(
+    "gold_with_empty_ordinals",
+    with_fixtures("houses", f"SELECT {q('Id')}, cast(NULL AS integer) AS {q('KitchenQual')}, cast(NULL AS integer) AS {q('PavedDrive')} FROM houses"),
+)
+def gold_with_empty_ordinals(spark, sf):
+    """Ordinal columns that arrived without any value, and so as numbers."""
+    houses = fixture(spark, sf, "houses").withColumns({c: F.lit(None).cast("double") for c in ("KitchenQual", "PavedDrive")})
+    return layers.prepare(houses).select("Id", "KitchenQual", "PavedDrive")
+
+
+@query("column_types_counted", "SELECT data_type AS type, count(*) AS n FROM (VALUES ('bigint'), ('bigint'), ('double'), ('string')) t(data_type), (SELECT count(*) AS r FROM orders) o WHERE r > 0 GROUP BY 1")
+def column_types_counted(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    found = profile.type_counts(orders)
+    return spark.createDataFrame(sorted(found.items()), "type string, n bigint")
+
+
+@query("columns_present", "SELECT o_orderkey, o_totalprice FROM orders")
+def columns_present(spark, sf):
+    orders = table(spark, sf, "orders")
+    return orders.select(*present(orders, ["o_orderkey", "no_such_column", "o_totalprice"]))
+
+
+@query("required_columns", "SELECT o_orderkey FROM orders")
+def required_columns(spark, sf):
+    """The table goes on if it has the columns; it is refused if it lacks one."""
+    orders = require_columns(table(spark, sf, "orders"), ["o_orderkey"])
+    try:
+        require_columns(orders, ["o_orderkey", "no_such_column"])
+    except ValueError:
+        return orders.select("o_orderkey")
+    raise AssertionError("a table without a required column went on")
+
+
+# fitted on some customers and applied to all: rare levels, levels not seen, and names that would clash if they were just joined
+CLASHING = {
+    d: "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'b_c' WHEN c_custkey % 50 = 1 THEN 'infrequent' ELSE 'z' END AS a,"
+    " CASE WHEN c_custkey % 4 = 0 THEN 'c' WHEN c_custkey % 4 = 1 THEN 'is_c' ELSE NULL END AS a_b,"
+    f" {d.text('c_nationkey')} AS nation FROM {{customer}}"
+    for d in (SPARK, DUCK)
+}
+RARE_BELOW = 30
+CLASHING_SQL = f"""WITH c AS ({CLASHING[DUCK].format(customer="customer")}), fitted AS (SELECT * FROM c WHERE nation <> '7' AND c_custkey % 2 = 1),
+    lv AS (SELECT nation, count(*) AS n FROM fitted GROUP BY nation)
+    SELECT c_custkey, cast(a = 'b_c' AS integer) AS "a_is_b_c", cast(a = 'infrequent' AS integer) AS "a_is_infrequent",
+           cast(a = 'z' AS integer) AS "a_is_z", cast(coalesce(a_b = 'is_c', false) AS integer) AS "a__b_is_is_c",
+           cast(a_b IS NULL AS integer) AS "a__b_is___missing__",
+           cast(coalesce(n < {RARE_BELOW}, false) AS integer) AS nation_rare, cast(coalesce(n >= {RARE_BELOW}, false) AS integer) AS nation_kept
+    FROM c LEFT JOIN lv USING (nation)"""
+
+
+@query("one_hot_rare_unseen", CLASHING_SQL)
+def one_hot_rare_unseen(spark, sf):
+    customers = spark.sql(CLASHING[SPARK], customer=table(spark, sf, "customer"))
+    fitted = customers.where("nation <> '7' AND c_custkey % 2 = 1")
+    counted = encode.levels(fitted, ["a", "a_b"], 1).union(encode.levels(fitted, ["nation"], RARE_BELOW))
+    out = encode.one_hot(customers, counted, ["a", "a_b", "nation"])
+    kept = [c for c in out.columns if c.startswith("nation_is_")]
+    total = sum((F.col(c) for c in kept), F.lit(0))
+    return out.withColumn("nation_kept", total).drop(*kept)
+
+
 SCALED = ["GrLivArea", "OverallQual", "GarageArea"]
 
 
