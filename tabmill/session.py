@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # run versions are text, also where they name the folders of a history
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 # The JVM does not compile methods beyond 8000 bytes of bytecode. Generated code of a wide table
@@ -60,4 +62,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once and read back: cuts the lineage and survives the loss of executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._scratch_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove what ``materialize`` wrote, once nothing reads it any more."""
+    for df in stored:
+        remove_path(df.sparkSession, df._scratch_path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.functions.checks import present, require_columns
+from tabmill.functions.checks import present, quoted, require_columns
 from tabmill.functions.times import lenient_timestamp
 from tabmill.operators.encode import union_all
-from tabmill.sources.readers import path_exists, read_csv, read_growing
+from tabmill.session import discard, materialize
+from tabmill.sources.readers import CSV_FORMAT, path_exists, read_csv, read_growing
 
 # --- fixed values: the run tables and the column that names the run ---
 RUN_TABLES = {"models": "version", "train_cv_predictions": "model_version", "predictions": "model_version"}
 
-# Runs of a snapshot that are looked up as a list.
-LISTED_RUNS = 1_000
+# Names the delivery a row came with; a folder below the run's.
+PART = "_part"
 
 
 def append_history(df: DataFrame, path: str) -> None:
@@ -29,11 +31,11 @@ def append_csv_history(df: DataFrame, path: str) -> None:
     refused, for CSV has no names to match them by."""
     spark = df.sparkSession
     if path_exists(spark, path):
-        header = spark.read.option("header", True).csv(path).columns
+        header = spark.read.options(**CSV_FORMAT).csv(path).columns
         if set(header) != set(df.columns):
             raise ValueError(f"columns {sorted(set(header) ^ set(df.columns))} differ from the history; use Parquet")
         df = df.select(*header)
-    df.write.mode("append").option("header", True).csv(path)
+    df.write.mode("append").options(**CSV_FORMAT).csv(path)
 
 
 def distinct_runs(df: DataFrame, version: str) -> DataFrame:
@@ -51,17 +53,8 @@ def runs_already_loaded(stored: DataFrame, incoming: DataFrame, version: str) ->
 
 
 def any_run_loaded(stored: DataFrame, incoming: DataFrame, version: str) -> bool:
-    """Whether any incoming run is stored; stops at the first one found.
-
-    A snapshot has few runs: they become a list that the scan of the stored table filters by.
-    More of them than a list should hold are joined.
-    """
-    if version not in stored.columns:
-        return False
-    runs = [r[version] for r in distinct_runs(incoming, version).limit(LISTED_RUNS + 1).collect()]
-    if len(runs) > LISTED_RUNS:
-        return not runs_already_loaded(stored, incoming, version).isEmpty()
-    return bool(runs) and not stored.where(F.col(version).isin(runs)).isEmpty()
+    """Whether any incoming run is stored; versions are compared as text, whatever their type."""
+    return version in stored.columns and not runs_already_loaded(stored, incoming, version).isEmpty()
 
 
 def new_runs(stored: DataFrame | None, incoming: DataFrame, version: str) -> DataFrame:
@@ -76,30 +69,82 @@ def new_runs(stored: DataFrame | None, incoming: DataFrame, version: str) -> Dat
     return incoming.join(known, F.col(version).cast("string") == F.col("_run"), "left_anti")
 
 
+def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
+    """A RAW table as it was loaded; None if nothing was written yet."""
+    stored = read_growing(spark, path)
+    return stored.drop(PART) if stored is not None else None
+
+
+def deliveries(incoming: DataFrame, version: str) -> DataFrame:
+    """version, _part: the rows of each run named by their content, whatever their order; one row per run."""
+    columns = [F.col(quoted(c)) for c in sorted(incoming.columns)]
+    digest = F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).cast("string")
+    return incoming.groupBy(F.col(version)).agg(F.md5(F.concat_ws(":", F.count(F.lit(1)), digest)).alias(PART))
+
+
 def load_raw(incoming: DataFrame, path: str, version: str, mode: str = "append", skip: str = "snapshot") -> bool:
     """Load a snapshot into a RAW table kept as Parquet; returns whether rows were written.
 
     ``mode``: append or truncate. ``skip`` (append only): 'snapshot' loads nothing if any of
-    the runs is stored already, 'run' loads the runs that are not, 'none' always loads all.
+    the runs is stored already, 'run' loads the runs that are not, 'part' loads what was not delivered before, also of runs
+    stored already, 'none' always loads all.
+
+    The table has a folder for each run and below it one for each delivery, named by its content. Which runs are stored follows from
+    the folders, and a delivery that comes again, complete or after a failed write, replaces its own folder, so nothing is added
+    twice, rows without a version included. The snapshot is computed once and stored before it is looked at.
     """
-    if skip not in ("snapshot", "run", "none"):
+    if skip not in ("snapshot", "run", "part", "none"):
         raise ValueError(f"unknown skip mode {skip!r}")
+    if mode not in ("append", "truncate"):
+        raise ValueError(f"unknown mode {mode!r}")
     spark = incoming.sparkSession
     require_columns(incoming, [version], "snapshot")
-    if mode == "truncate":
-        incoming.write.mode("overwrite").parquet(path)
-        return True
-    if mode != "append":
-        raise ValueError(f"unknown mode {mode!r}")
-    stored = read_growing(spark, path) if skip != "none" else None
-    if stored is not None and skip == "snapshot" and any_run_loaded(stored, incoming, version):
-        return False
-    if stored is not None and skip == "run":
-        incoming = new_runs(stored, incoming, version)
-        if incoming.isEmpty():
+    kept = materialize(incoming, "snapshot")
+    try:
+        return _load_stored(spark, kept, path, version, mode, skip)
+    finally:
+        discard(kept)
+
+
+def _load_stored(spark: SparkSession, incoming: DataFrame, path: str, version: str, mode: str, skip: str) -> bool:
+    parts = materialize(deliveries(incoming, version), "deliveries")
+    try:
+        wanted = parts
+        if skip == "none":
+            wanted = parts.withColumn(PART, F.lit(uuid.uuid4().hex))
+        stored = read_growing(spark, path) if mode == "append" and skip != "none" else None
+        if stored is not None:
+            if skip == "snapshot" and any_run_loaded(stored, parts, version):
+                return False
+            if skip == "run":
+                wanted = new_runs(stored, wanted, version)
+            known = stored.select(F.col(version).cast("string").alias("_run"), F.col(PART).alias("_known")).distinct()
+            same = F.col(version).cast("string").eqNullSafe(F.col("_run")) & (F.col(PART) == F.col("_known"))
+            wanted = wanted.join(known, same, "left_anti")
+        if mode == "append" and wanted.isEmpty():
             return False
-    append_history(incoming, path)
-    return True
+        runs = wanted.withColumnRenamed(version, "_run")
+        rows = incoming.join(runs, F.col(version).eqNullSafe(F.col("_run"))).drop("_run")
+        # named after their content, deliveries replace themselves and nothing else
+        overwrite = "dynamic" if mode == "append" else "static"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(version, PART).parquet(path)
+        return True
+    finally:
+        discard(parts)
+
+
+def register_raw(spark: SparkSession, name: str, path: str) -> None:
+    """Make a RAW folder a table of the catalog, with the columns and runs it has now; no rows are read or moved."""
+    stored = read_growing(spark, path)
+    if stored is None:
+        raise ValueError(f"nothing was loaded at {path}")
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in stored.schema.fields)
+    runs = ", ".join(quoted(c) for c in stored.columns if c in (*RUN_TABLES.values(), PART))
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+    spark.sql(
+        f"CREATE TABLE IDENTIFIER(:name) ({columns}) USING parquet PARTITIONED BY ({runs}) LOCATION '{path}'", args={"name": name}
+    )
+    spark.catalog.recoverPartitions(name)
 
 
 def load_all(
@@ -118,6 +163,14 @@ def load_all(
     return outcome
 
 
+def register_all(spark: SparkSession, raw: str, namespace: str) -> list[str]:
+    """Register every run table that was loaded below ``raw``, for the views over them; returns their names."""
+    names = [t for t in RUN_TABLES if path_exists(spark, f"{raw}/{t}")]
+    for table in names:
+        register_raw(spark, f"{namespace}.{table}", f"{raw}/{table}")
+    return names
+
+
 def parse_history(history: DataFrame, at: str = "created_at_utc") -> DataFrame:
     """Load times of a text history as timestamps; unreadable ones become NULL."""
     return history.withColumns({c: lenient_timestamp(F.col(c).cast("string")) for c in present(history, [at])})
@@ -131,7 +184,7 @@ def rebuild_raw(spark: SparkSession, csv_history: Mapping[str, str], raw: str) -
         if path is None or not path_exists(spark, path):
             outcome[table] = "absent"
             continue
-        parse_history(read_csv(spark, path)).write.mode("overwrite").parquet(f"{raw}/{table}")
+        load_raw(parse_history(read_csv(spark, path)), f"{raw}/{table}", RUN_TABLES[table], mode="truncate")
         outcome[table] = "loaded"
     return outcome
 

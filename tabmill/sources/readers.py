@@ -11,6 +11,19 @@ from pyspark.errors import AnalysisException
 from tabmill.defaults import MISSING_TOKENS, READER_MISSING_TOKENS
 from tabmill.functions.missing import infer_types, normalize_missing
 
+# How every CSV file here is written and read: quotes are doubled, blanks belong to the value, and an empty text differs from
+# a missing one.
+CSV_FORMAT = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "nullValue": "", "emptyValue": '""',
+}
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All columns as text. Without ``multi_line`` large files are read in parts, but a value must not hold a line break."""
+    options = {**CSV_FORMAT, "emptyValue": ""}
+    return spark.read.options(**options).option("multiLine", multi_line).csv(path)
+
 
 def read_csv(
     spark: SparkSession,
@@ -18,11 +31,11 @@ def read_csv(
     schema: T.StructType | str | None = None,
     tokens: Sequence[str] = (*MISSING_TOKENS, *READER_MISSING_TOKENS),
     widen_nullable: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with header. With a schema the missing tokens are removed and the rest is cast, which
     needs no pass over the data; without one the types are inferred after the tokens are gone."""
-    text = spark.read.option("header", True).option("multiLine", False).option("escape", '"').csv(path)
-    text = normalize_missing(text, tokens)
+    text = normalize_missing(read_csv_text(spark, path, multi_line), tokens)
     if schema is None:
         return infer_types(text, widen_nullable=widen_nullable)
     if isinstance(schema, str):

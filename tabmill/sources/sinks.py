@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tabmill.functions.checks import quoted, require_columns
-from tabmill.sources.readers import path_exists
+from tabmill.session import remove_path
+from tabmill.sources.readers import CSV_FORMAT, path_exists
 
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:
@@ -17,18 +19,39 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
 
 
 def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> int:
-    """Replace a catalog table with its schema; returns the rows written, counted on the way."""
+    """Replace a catalog table with its schema; returns the rows written, counted on the way.
+
+    The rows are written under a name of their own first, so a table may be replaced from itself, and a write that fails
+    leaves the old table as it was. With ``path`` each version lies in a new folder below it.
+    """
     spark = df.sparkSession
-    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+    fresh = f"{name}_new_{uuid.uuid4().hex[:12]}"
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite")
-    writer = writer.option("overwriteSchema", "true")
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt)
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        writer = writer.option("path", f"{path}/{uuid.uuid4().hex[:12]}")
+    try:
+        writer.saveAsTable(fresh)
+    except Exception:
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": fresh})
+        raise
+    replaced = _location(spark, name) if path and spark.catalog.tableExists(name) else None
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+    spark.sql(f"ALTER TABLE {_quoted_name(fresh)} RENAME TO {_quoted_name(name)}")
+    if replaced and f"{path}/" in replaced:
+        remove_path(spark, replaced)
     return seen.get["rows"]
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE FORMATTED {_quoted_name(name)}").where("col_name = 'Location'").collect()  # one row
+    return rows[0]["data_type"] if rows else None
+
+
+def _quoted_name(name: str) -> str:
+    return ".".join(quoted(part) for part in name.split("."))
+
+
 def export_snapshot(df: DataFrame, path: str, single_file: bool = False) -> int:
     """Overwrite a Parquet snapshot; returns the rows written. ``single_file`` sends everything
     through one task and is meant for small tables."""
@@ -44,8 +67,8 @@ def export_submission(
 ) -> None:
     """id, prediction as CSV with header."""
     require_columns(scored, [key, value], "scored table")
-    scored.select(F.col(key).alias(header[0]), F.col(value).alias(header[1])).write.mode("overwrite").option(
-        "header", True
+    scored.select(F.col(key).alias(header[0]), F.col(value).alias(header[1])).write.mode("overwrite").options(
+        **CSV_FORMAT
     ).csv(path)
 
 

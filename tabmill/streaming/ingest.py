@@ -1,4 +1,4 @@
-"""Run snapshots arriving as files, each run loaded once."""
+"""Run snapshots arriving as files, each delivery of a run loaded once."""
 
 from __future__ import annotations
 
@@ -12,16 +12,15 @@ from tabmill.sources.history import load_raw
 def ingest_runs(
     spark: SparkSession, landing: str, raw: str, version: str, schema: T.StructType, checkpoint: str
 ) -> StreamingQuery:
-    """Load the files that have arrived, as one batch, and stop. All files of a run must be
-    moved into the landing folder together: a run counts as loaded once rows of it are.
+    """Load the files that have arrived, as one batch, and stop. A run may arrive in several batches.
 
-    The checkpoint remembers the files, the RAW table the runs: a repeated file is not read
-    again, and a run that is stored already is not appended again, so a batch which is retried
-    after a failure adds nothing twice.
+    The checkpoint remembers the files, the RAW table the deliveries by their content: a repeated file is not read
+    again, and the same rows of a run arriving as a new file, or in a batch which is retried after a failure, are not added
+    again.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_raw(batch, raw, version, skip="run")
+        load_raw(batch, raw, version, skip="part")
 
     return (
         spark.readStream.schema(schema)

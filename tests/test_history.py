@@ -5,6 +5,7 @@ from tabmill.plans import layers
 from tabmill.sources import history, sinks
 from tabmill.sources.readers import read_growing
 from tabmill.streaming.ingest import ingest_runs
+from tests.plans import physical
 from workload.fixtures import fixture
 
 
@@ -28,11 +29,50 @@ def test_a_run_is_loaded_once(spark, tmp_path):
     assert not history.load_raw(mixed, path, "version", skip="run")
 
 
-def test_a_snapshot_without_versions_is_loaded(spark, tmp_path):
+@pytest.mark.parametrize("skip", ["snapshot", "run", "part"])
+def test_rows_without_version_are_loaded_once(spark, tmp_path, skip):
     path = str(tmp_path / "raw")
-    for _ in range(2):
-        assert history.load_raw(run(spark, None, 1), path, "version")
-    assert stored(spark, path) == [("", 1), ("", 1)]
+    assert history.load_raw(run(spark, None, 1, 1), path, "version", skip=skip)
+    assert not history.load_raw(run(spark, None, 1, 1), path, "version", skip=skip)
+    assert history.load_raw(run(spark, None, 1), path, "version", skip=skip)
+    assert stored(spark, path) == [("", 1), ("", 1), ("", 1)]
+
+
+def test_a_run_in_parts_is_complete_and_repeats_add_nothing(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    both = run(spark, "a", 3).union(run(spark, "b", 9))
+    for snapshot in (run(spark, "a", 1, 2), run(spark, "a", 1, 2), both, both, run(spark, None, 7), run(spark, None, 7)):
+        history.load_raw(snapshot, path, "version", skip="part")
+    assert stored(spark, path) == [("", 7), ("a", 1), ("a", 2), ("a", 3), ("b", 9)]
+
+
+def test_a_run_is_read_from_its_folder(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    history.load_raw(run(spark, "007", 1).union(run(spark, "2024-01-31", 2)), path, "version")
+    found = history.read_raw(spark, path)
+    assert sorted(r["version"] for r in found.collect()) == ["007", "2024-01-31"] and "_part" not in found.columns
+    plan = physical(found.where("version = '007'"))
+    assert "PartitionFilters: [isnotnull(version" in plan
+
+
+def test_versions_are_compared_as_text(spark):
+    numbers = spark.createDataFrame([(1,), (2,)], "version bigint")
+    assert not history.any_run_loaded(numbers, run(spark, "manual-run", 1), "version")
+    assert history.any_run_loaded(numbers, run(spark, "2", 1), "version")
+
+
+def test_a_snapshot_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    history.load_raw(run(spark, "a", 1), str(tmp_path / "raw"), "version")
+    incoming = run(spark, "b", 1, 2, 3).mapInArrow(counted, "version string, v int")
+    history.load_raw(incoming, str(tmp_path / "raw"), "version", skip="run")
+    assert seen.value == 3
 
 
 def test_truncate_and_forced_append(spark, tmp_path):
@@ -70,8 +110,7 @@ def test_new_runs_keep_rows_without_version(spark):
     assert sorted(r["v"] for r in left.collect()) == [2, 3]
 
 
-def test_many_runs_are_joined(spark, monkeypatch):
-    monkeypatch.setattr(history, "LISTED_RUNS", 1)
+def test_any_run_loaded(spark):
     stored_runs = run(spark, "a", *range(50)).union(run(spark, "b", 1))
     assert history.any_run_loaded(stored_runs, run(spark, "b", 1).union(run(spark, "c", 1)), "version")
     assert not history.any_run_loaded(stored_runs, run(spark, "d", 1).union(run(spark, "c", 1)), "version")

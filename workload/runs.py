@@ -9,8 +9,8 @@ from tabmill.plans import layers, marts
 from tabmill.plans.views import apply_views
 from tabmill.session import scratch_path
 from tabmill.sources import history, sinks
-from tabmill.sources.readers import read_growing, read_optional, read_table
-from workload.dialects import epoch_ts, text_of
+from tabmill.sources.readers import read_csv, read_growing, read_optional, read_table
+from workload.dialects import DUCK, SPARK, epoch_ts, text_of
 from workload.fixtures import fixture, houses_as_text, table, with_fixtures
 from workload.marts import CV_ROUND, FLAGS
 from workload.registry import SQL, query, rounded
@@ -103,8 +103,27 @@ def csv_history(spark, sf):
     cv, path = fixture(spark, sf, "cv"), scratch_path(spark, "history-csv")
     history.append_csv_history(cv.where("kaggle_id % 2 = 0").select("kaggle_id", "model_id", "y_true"), path)
     history.append_csv_history(cv.where("kaggle_id % 2 = 1").select("y_true", "model_id", "kaggle_id"), path)
-    back = spark.read.option("header", True).schema("kaggle_id bigint, model_id string, y_true double").csv(path)
-    return rounded(back)
+    return rounded(read_csv(spark, path, "kaggle_id bigint, model_id string, y_true double"))
+
+
+# quotes, commas, blanks, line breaks and backslashes
+UGLY = {
+    d: "SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN concat('say \"hi\", ', o_orderstatus) WHEN 1 THEN concat('  ', o_orderstatus, ' ')"
+    f" WHEN 2 THEN concat(o_orderstatus, {br}, 'second line, \"quoted\"') WHEN 3 THEN concat('back', {bs}, 'slash', {bs}) WHEN 4 THEN '\"'"
+    f" WHEN 5 THEN concat({bs}, '\"', ',') WHEN 6 THEN NULL ELSE o_orderstatus END AS note, o_orderpriority FROM {{orders}}"
+    for d, br, bs in ((SPARK, "chr(10)", "chr(92)"), (DUCK, "chr(10)", "chr(92)"))
+}
+
+
+@query("csv_fidelity", f"SELECT o_orderkey, note, o_orderpriority AS version FROM ({UGLY[DUCK].format(orders='orders')}) u")
+def csv_fidelity(spark, sf):
+    """Through a CSV history in two appends, rebuilt as a RAW table: every text as it was."""
+    csv, raw = scratch_path(spark, "history-csv"), scratch_path(spark, "raw")
+    rows = spark.sql(UGLY[SPARK], orders=table(spark, sf, "orders")).withColumnRenamed("o_orderpriority", "version")
+    for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1"):
+        history.append_csv_history(rows.where(part), csv)
+    history.rebuild_raw(spark, {"models": csv}, raw)
+    return history.read_raw(spark, f"{raw}/models").select("o_orderkey", "note", "version")
 
 
 @query(
@@ -195,7 +214,7 @@ def any_run_loaded(spark, sf):
 
 
 def _loaded(spark, path):
-    return rounded(read_growing(spark, path), cv_rmse_mean=6, r2_test=6)
+    return rounded(history.read_raw(spark, path), cv_rmse_mean=6, r2_test=6)
 
 
 @query(
@@ -284,7 +303,7 @@ def raw_rebuild(spark, sf):
         csv,
     )
     history.rebuild_raw(spark, {"train_cv_predictions": csv}, raw)
-    return rounded(spark.read.parquet(f"{raw}/train_cv_predictions"))
+    return rounded(history.read_raw(spark, f"{raw}/train_cv_predictions"))
 
 
 @query(
@@ -313,11 +332,8 @@ def optional_inputs(spark, sf):
 
 @query("run_filter", "SELECT o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')")
 def run_filter(spark, sf):
-    """A list as query parameter."""
-    return spark.sql(
-        "SELECT o_orderkey FROM {orders} WHERE array_contains(:wanted, o_orderpriority)",
-        args={"wanted": F.array(F.lit("1-URGENT"), F.lit("5-LOW"))}, orders=table(spark, sf, "orders"),
-    )
+    """A list that the scan filters by."""
+    return table(spark, sf, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW")).select("o_orderkey")
 
 
 @query(
@@ -386,6 +402,47 @@ def incremental_ingest(spark, sf):
     return _loaded(spark, raw)
 
 
+@query(
+    "ingest_run_in_parts",
+    with_fixtures("models", text_of(f"{MODELS_ROUND} models", flags=FLAGS)),
+)
+def ingest_run_in_parts(spark, sf):
+    """Each run arrives in three deliveries, rows without a version too, and the second one comes twice."""
+    from tabmill.streaming.ingest import ingest_runs
+
+    models = fixture(spark, sf, "models")
+    landing, raw, checkpoint = (scratch_path(spark, x) for x in ("landing", "raw", "stream"))
+    part = F.pmod(F.xxhash64("id", "cv_rmse_mean"), F.lit(3))
+    for delivery in (0, 1, 1, 2):
+        models.where(part == delivery).write.mode("append").parquet(landing)
+        ingest_runs(spark, landing, raw, "version", models.schema, checkpoint).awaitTermination()
+    return _loaded(spark, raw)
+
+
+@query(
+    "raw_to_views",
+    with_fixtures(
+        "models",
+        f"""SELECT id, round(cv_rmse_mean, 6) AS cv_rmse_mean FROM (
+              SELECT *, row_number() OVER (PARTITION BY id ORDER BY {epoch_ts('created_at_utc')} DESC NULLS LAST,
+                                           cv_rmse_mean NULLS FIRST) AS rn FROM models) m WHERE rn = 1""",
+    ),
+)
+def raw_to_views(spark, sf):
+    """Load, skip, load with one more column, register, views: what a warehouse user reads."""
+    raw, names = scratch_path(spark, "raw"), [_table_name(n) for n in ("raw", "core", "marts")]
+    models = fixture(spark, sf, "models")
+    early, late = models.where("version < '1996'"), models.where("version >= '1996'").withColumn("stage", F.lit("later"))
+    for snapshot in (early, early, late):
+        history.load_raw(snapshot, f"{raw}/models", "version")
+    history.load_raw(fixture(spark, sf, "cv"), f"{raw}/train_cv_predictions", "model_version")
+    history.load_raw(fixture(spark, sf, "predictions"), f"{raw}/predictions", "model_version")
+    sinks.ensure_namespace(spark, names[0])
+    history.register_all(spark, raw, names[0])
+    apply_views(spark, *names)
+    return rounded(spark.table(f"{names[1]}.v_models").select("id", "cv_rmse_mean"), 6)
+
+
 @query(
     "latest_of_history",
     with_fixtures(
@@ -400,7 +457,7 @@ def latest_of_history(spark, sf):
     models, path = fixture(spark, sf, "models"), scratch_path(spark, "raw")
     for _ in range(2):
         history.load_raw(models, path, "version", skip="none")
-    return rounded(marts.core_models(read_growing(spark, path), ["cv_rmse_mean"]).select("id", "cv_rmse_mean"), 6)
+    return rounded(marts.core_models(history.read_raw(spark, path), ["cv_rmse_mean"]).select("id", "cv_rmse_mean"), 6)
 
 
 def _catalog_views(spark, sf):

@@ -14,8 +14,8 @@ from tabmill.operators import choose, encode, folds, linear, metrics
 from tabmill.plans import layers, training
 from tabmill.plans.scoring import score, score_with_stored
 from tabmill.session import materialize, scratch_path
-from workload.dialects import DUCK, hash_bucket
-from workload.fixtures import fixture, with_fixtures
+from workload.dialects import DUCK, SPARK, hash_bucket
+from workload.fixtures import fixture, table, with_fixtures
 from workload.registry import query, rounded
 
 q = DUCK.name
@@ -56,6 +56,36 @@ def contiguous_folds(spark, sf):
     return folds.contiguous_folds(fixture(spark, sf, "houses").select("Id"), "Id", K)
 
 
+# text keys that share long beginnings
+TEXT_KEY = {d: f"SELECT concat('order-key-', {d.text('o_orderkey % 7')}, '-', {d.text('o_orderkey')}) AS key FROM {{orders}}" for d in (SPARK, DUCK)}
+
+
+@query(
+    "contiguous_folds_text_key",
+    f"""SELECT key, cast(CASE WHEN pos < (n % {K}) * (n // {K} + 1) THEN pos // (n // {K} + 1)
+          ELSE (pos - (n % {K}) * (n // {K} + 1)) // (n // {K}) + n % {K} END AS integer) AS fold
+        FROM (SELECT key, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS n
+              FROM ({TEXT_KEY[DUCK].format(orders="orders")}) k) h""",
+)
+def contiguous_folds_text_key(spark, sf):
+    return folds.contiguous_folds(spark.sql(TEXT_KEY[SPARK], orders=table(spark, sf, "orders")), "key", K)
+
+
+@query(
+    "folds_with_missing_keys",
+    f"""SELECT CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey END AS key, cast(CASE WHEN o_orderkey % 4 <> 0 THEN
+          {hash_bucket('o_orderkey', '42:fold', K)} END AS integer) AS fold, 1 AS has_fold, 1 AS has_flag FROM orders""",
+)
+def folds_with_missing_keys(spark, sf):
+    """Every row has a fold and a flag, also where its key is missing; which one is fixed by the key where there is one."""
+    keyed = table(spark, sf, "orders").select(F.expr("CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey END").alias("key"), "o_custkey", "o_totalprice")
+    marked = folds.mark_holdout(folds.assign_folds(keyed, "key", K), "key")
+    return marked.select(
+        "key", F.when(F.col("key").isNotNull(), F.col("fold")).alias("fold"),
+        F.col("fold").isNotNull().cast("int").alias("has_fold"), F.col("is_holdout").isNotNull().cast("int").alias("has_flag"),
+    )
+
+
 # --- statistics per fold ---
 
 IMPUTED = ["GrLivArea", "TotalBsmtSF", "GarageArea"]
