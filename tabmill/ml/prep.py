@@ -25,12 +25,9 @@ from tabmill.operators.ranks import medians
 from tabmill.session import materialize
 
 KINDS = ("ohe_dense", "hgb_native")
-# A learner gets one vector slot per level; wider vectors than this cannot be fitted.
+# Defaults of the parameters that bound levels: vector slots a learner may get, and levels of one nominal feature.
 MAX_LEVELS = 100_000
-# Nominal features of tree learners: at most this many levels per column.
 MAX_NOMINAL_LEVELS = 255
-# Rare levels up to this number are looked up as literals, more of them by a join.
-LITERAL_LEVELS = 1_000
 
 
 class GoldFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -62,6 +59,8 @@ class _PrepParams(Params):
     minFrequency = Param(Params._dummy(), "minFrequency", "levels below it are grouped", TypeConverters.toFloat)
     scaleNumeric = Param(Params._dummy(), "scaleNumeric", "standardise numbers", TypeConverters.toBoolean)
     outputCol = Param(Params._dummy(), "outputCol", "vector column", TypeConverters.toString)
+    maxLevels = Param(Params._dummy(), "maxLevels", "kept levels of all columns", TypeConverters.toInt)
+    maxNominalLevels = Param(Params._dummy(), "maxNominalLevels", "levels of a nominal feature: the learner's bins less one", TypeConverters.toInt)
 
 
 class FeaturePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -70,14 +69,15 @@ class FeaturePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWr
     @keyword_only
     def __init__(
         self, *, kind: str = "ohe_dense", exclude: list[str] | None = None, minFrequency: float = 10,
-        scaleNumeric: bool = False, outputCol: str = "features",
+        scaleNumeric: bool = False, outputCol: str = "features", maxLevels: int = MAX_LEVELS,
+        maxNominalLevels: int = MAX_NOMINAL_LEVELS,
     ):
         super().__init__()
         if kind not in KINDS:
             raise ValueError(f"unknown kind {kind!r}")
         self._set(
             kind=kind, exclude=list(exclude or []), minFrequency=float(minFrequency), scaleNumeric=scaleNumeric,
-            outputCol=outputCol,
+            outputCol=outputCol, maxLevels=maxLevels, maxNominalLevels=maxNominalLevels,
         )
 
     def _fit(self, df: DataFrame) -> "FeaturePrepModel":
@@ -94,7 +94,9 @@ class FeaturePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWr
             if kind == "hgb_native":
                 threshold = 1
             table = materialize(levels(df, categories, threshold), "levels")
-            kept, rare = _kept_levels(table, categories, kind)
+            kept, rare = _kept_levels(
+                table, categories, self.getOrDefault(self.maxNominalLevels) if kind == "hgb_native" else None, self.getOrDefault(self.maxLevels)
+            )
         model = FeaturePrepModel(fills, scale, kept, rare, table)
         return self._copyValues(model)
 
@@ -107,7 +109,9 @@ def _scale(df: DataFrame, fills: dict[str, float]) -> dict[str, tuple[float, flo
     return {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(filled)}
 
 
-def _kept_levels(table: DataFrame, categories: list[str], kind: str) -> tuple[dict[str, list[str]], dict[str, int]]:
+def _kept_levels(
+    table: DataFrame, categories: list[str], per_column_limit: int | None, limit: int
+) -> tuple[dict[str, list[str]], dict[str, int]]:
     """Kept levels per column in alphabetical order, and the number of rare ones."""
     sizes = {
         r["column"]: r
@@ -116,10 +120,10 @@ def _kept_levels(table: DataFrame, categories: list[str], kind: str) -> tuple[di
         .collect()
     }
     per_column = max((r["kept"] for r in sizes.values()), default=0)
-    if kind == "hgb_native" and per_column > MAX_NOMINAL_LEVELS:
-        raise ValueError(f"a category has {per_column} levels, tree learners take {MAX_NOMINAL_LEVELS}")
-    if sum(r["kept"] for r in sizes.values()) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} frequent levels; raise minFrequency")
+    if per_column_limit is not None and per_column > per_column_limit:
+        raise ValueError(f"a category has {per_column} levels, this learner takes {per_column_limit}")
+    if sum(r["kept"] for r in sizes.values()) > limit:
+        raise ValueError(f"more than {limit} frequent levels; raise minFrequency or maxLevels")
     kept: dict[str, list[str]] = {c: [] for c in categories}
     for r in table.where("kept").select("column", "value").collect():
         kept[r["column"]].append(r["value"])
@@ -186,11 +190,11 @@ class FeaturePrepModel(TableStored, Model, _PrepParams):
         if not self.rare[c]:
             return df.withColumn(name, filled)
         rare = self.table.where((F.col("column") == c) & ~F.col("kept")).select(F.col("value").alias("_rare"))
-        if self.rare[c] <= LITERAL_LEVELS:
-            values = [r["_rare"] for r in rare.collect()]
-            return df.withColumn(name, F.when(filled.isin(values), INFREQUENT).otherwise(filled))
-        joined = df.withColumn(name, filled).join(rare, F.col(name) == F.col("_rare"), "left")
-        return joined.withColumn(name, F.when(F.col("_rare").isNotNull(), INFREQUENT).otherwise(F.col(name))).drop("_rare")
+        # rows with a kept level take no part in the join, so a frequent level is no hot key
+        is_kept = F.col(name).isin(self.kept[c]) if self.kept[c] else F.lit(False)
+        probed = df.withColumn(name, filled).withColumn("_probe", F.when(~is_kept, F.col(name)))
+        joined = probed.join(rare, F.col("_probe") == F.col("_rare"), "left")
+        return joined.withColumn(name, F.when(F.col("_rare").isNotNull(), INFREQUENT).otherwise(F.col(name))).drop("_rare", "_probe")
 
 
 def feature_names(df: DataFrame, vector: str = "features") -> list[str]:

@@ -41,7 +41,11 @@ def random_forest(
     label: str, target: str = "raw", exclude: Sequence[str] = (), trees: int = FOREST_TREES, max_depth: int = 30,
     min_leaf: int = 1, max_bins: int = 256,
 ) -> Estimator:
-    """All features at every split; 30 is the deepest tree Spark grows."""
+    """All features at every split; 30 is the deepest tree Spark grows.
+
+    All trees lie on the driver: about 200 bytes for each node, up to two nodes per ``min_leaf`` rows and tree. For large tables
+    raise ``min_leaf`` so that trees times rows over ``min_leaf`` fits there.
+    """
     forest = RandomForestRegressor(
         labelCol=FITTED_LABEL, numTrees=trees, maxDepth=max_depth, minInstancesPerNode=min_leaf, maxBins=max_bins,
         featureSubsetStrategy="all", seed=SEED,
@@ -57,7 +61,8 @@ def small_forest(label: str, target: str = "raw", exclude: Sequence[str] = (), t
 def boosted_trees(label: str, target: str = "raw", exclude: Sequence[str] = (), **overrides) -> Estimator:
     """Histogram boosting with nominal categories."""
     params = {**BOOSTING, "maxBins": MAX_NOMINAL_LEVELS + 1, "seed": SEED, **overrides}
-    return _model(GBTRegressor(labelCol=FITTED_LABEL, **params), label, target, exclude, kind="hgb_native")
+    boosting = GBTRegressor(labelCol=FITTED_LABEL, **params)
+    return _model(boosting, label, target, exclude, kind="hgb_native", maxNominalLevels=params["maxBins"] - 1)
 
 
 def neural_net(label: str, target: str = "raw", exclude: Sequence[str] = (), id_column: str = "Id", **overrides) -> Estimator:

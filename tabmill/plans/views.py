@@ -16,7 +16,7 @@ from tabmill.functions.checks import quoted
 from tabmill.plans.marts import CV_COLUMNS, MODEL_COLUMNS, PREDICTION_KEYS, SCORE_COLUMNS
 from tabmill.sources.sinks import ensure_namespace
 
-# Smallest magnitude of an epoch integer in each unit, and how to read it.
+# --- fixed values: smallest magnitude of an epoch integer in each unit, and how to read it ---
 _EPOCH_UNITS = [
     (10**18, "timestamp_micros({x} div 1000)"),
     (10**15, "timestamp_micros({x})"),

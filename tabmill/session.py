@@ -58,10 +58,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write once and read back: cuts the lineage and survives the loss of executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored._scratch_path = path
     return stored

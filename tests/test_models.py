@@ -48,9 +48,7 @@ def test_dense_features(table):
     assert len(zones) == 6 and set(x[:, zones].sum(axis=1)) == {1.0}  # five levels and the missing one
 
 
-@pytest.mark.parametrize("literal_levels", [1000, 0])
-def test_rare_and_unseen_levels(spark, table, monkeypatch, literal_levels):
-    monkeypatch.setattr(prep, "LITERAL_LEVELS", literal_levels)
+def test_rare_and_unseen_levels(spark, table):
     rare = table.withColumn("MSZoning", F.when(F.col("Id") < 3, F.concat(F.lit("rare"), F.col("Id"))).otherwise(F.col("MSZoning")))
     model = prep.FeaturePrep(exclude=["Id", "SalePrice"]).fit(rare)
     assert model.rare["MSZoning"] == 3
@@ -73,7 +71,7 @@ def test_unknown_kind_and_wide_category(spark, table):
     with pytest.raises(ValueError, match="unknown kind"):
         prep.FeaturePrep(kind="sparse")
     wide = table.withColumn("MSZoning", F.col("Id").cast("string"))
-    with pytest.raises(ValueError, match="tree learners"):
+    with pytest.raises(ValueError, match="this learner takes"):
         prep.FeaturePrep(kind="hgb_native", exclude=["Id", "SalePrice"]).fit(wide)
 
 
