@@ -13,18 +13,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "_row_rank"
-# Spark limits groups before the shuffle up to this n (spark.sql.optimizer.windowGroupLimitThreshold).
-PRE_LIMITED_UP_TO = 1000
-SPLITS = 64
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
     """The first ``n`` rows of each group; never more, so ``order`` should be total.
 
-    For a large ``n`` each group is first cut down in hashed splits, in parallel.
+    Beyond the ``n`` up to which Spark limits groups before the shuffle, each group is first cut down in as many hashed splits
+    as a shuffle has partitions; equal rows of different input partitions fall in different splits.
     """
-    if n > PRE_LIMITED_UP_TO:
-        split = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SPLITS))
+    conf = df.sparkSession.conf
+    if n > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id())
+        split = F.pmod(hashed, F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
         df = _first_rows(df.withColumn("_split", split), [*keys, "_split"], order, n).drop("_split")
     return _first_rows(df, keys, order, n)
 

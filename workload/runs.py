@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabmill.functions.targets import has_prediction
 from tabmill.operators.profile import layer_report
 from tabmill.plans import layers, marts
 from tabmill.plans.views import apply_views
@@ -142,18 +143,22 @@ def union_of_runs(spark, sf):
 
 @query(
     "sync_if_changed",
-    "SELECT * FROM (VALUES ('first copy', 'true'), ('unchanged', 'false'), ('changed', 'true')) t(step, copied)",
+    "SELECT part, o_orderkey, o_totalprice * 2 AS o_totalprice, 'true false true' AS copied"
+    " FROM orders, (VALUES ('train'), ('test')) t(part)",
 )
 def sync_if_changed(spark, sf):
+    """The copy after three calls: a first one, one that finds nothing new, one after all prices were doubled."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     source, target = scratch_path(spark, "store"), scratch_path(spark, "copy")
     steps = []
-    for label, stamp in (("first copy", "1"), ("unchanged", "1"), ("changed", "2")):
-        if label != "unchanged":
-            rows = {t: sinks.export_snapshot(orders, f"{source}/{t}_gold.parquet") for t in ("train", "test")}
+    for stamp, factor in (("1", 1), ("1", 1), ("2", 2)):
+        priced = orders.withColumn("o_totalprice", F.col("o_totalprice") * factor)
+        if len(steps) != 1:
+            rows = {t: sinks.export_snapshot(priced, f"{source}/{t}_gold.parquet") for t in ("train", "test")}
             sinks.write_manifest(sinks.manifest(spark, stamp, rows), f"{source}/manifest.json")
-        steps.append((label, sinks.sync_if_changed(spark, source, target)))
-    return spark.createDataFrame(steps, "step string, copied boolean")
+        steps.append(str(sinks.sync_if_changed(spark, source, target)).lower())
+    copies = [spark.read.parquet(f"{target}/{t}_gold.parquet").withColumn("part", F.lit(t)) for t in ("train", "test")]
+    return copies[0].unionByName(copies[1]).withColumn("copied", F.lit(" ".join(steps)))
 
 
 @query(
@@ -203,7 +208,16 @@ def new_runs(spark, sf):
     return rounded(history.new_runs(first, second, "version"), cv_rmse_mean=6, r2_test=6)
 
 
-@query("any_run_loaded", "SELECT 'shared runs' AS pair, 'true' AS loaded UNION ALL SELECT 'no shared run', 'false'")
+@query(
+    "any_run_loaded",
+    with_fixtures(
+        "models",
+        """WITH a AS (SELECT DISTINCT version FROM models WHERE version < '1996'),
+           b AS (SELECT DISTINCT version FROM models WHERE version >= '1995' OR version = 'manual-run')
+           SELECT 'shared runs' AS pair, cast(EXISTS (SELECT 1 FROM a JOIN b USING (version)) AS varchar) AS loaded
+           UNION ALL SELECT 'no shared run', cast(EXISTS (SELECT 1 FROM a JOIN b USING (version) WHERE version >= '1996') AS varchar)""",
+    ),
+)
 def any_run_loaded(spark, sf):
     first, second = _halves(spark, sf)
     pairs = [
@@ -308,8 +322,12 @@ def raw_rebuild(spark, sf):
 
 @query(
     "load_all_tables",
-    "SELECT * FROM (VALUES ('models', 'loaded', 'skipped'), ('train_cv_predictions', 'loaded', 'skipped'),"
-    " ('predictions', 'absent', 'absent')) t(run_table, first_load, second_load)",
+    with_fixtures(
+        "models cv",
+        "SELECT 'models' AS run_table, 'loaded' AS first_load, 'skipped' AS second_load, (SELECT count(*) FROM models) AS stored"
+        " UNION ALL SELECT 'train_cv_predictions', 'loaded', 'skipped', (SELECT count(*) FROM cv)"
+        " UNION ALL SELECT 'predictions', 'absent', 'absent', 0",
+    ),
 )
 def load_all_tables(spark, sf):
     """Snapshots of two of the three tables exist; loading them again changes nothing."""
@@ -319,11 +337,28 @@ def load_all_tables(spark, sf):
     paths = {t: f"{root}/{t}.parquet" for t in history.RUN_TABLES}
     first = history.load_all(spark, paths, raw)
     second = history.load_all(spark, paths, raw)
+    found = {t: history.read_raw(spark, f"{raw}/{t}") for t in first}
     return spark.createDataFrame(
-        [(t, first[t], second[t]) for t in first], "run_table string, first_load string, second_load string"
+        [(t, first[t], second[t], df.count() if (df := found[t]) is not None else 0) for t in first],
+        "run_table string, first_load string, second_load string, stored bigint",
     )
 
 
+@query(
+    "predictions_dropped",
+    with_fixtures(
+        "cv",
+        "SELECT kaggle_id, model_id, round(y_pred_oof, 4) AS y_pred_oof FROM cv WHERE kaggle_id % 10 > 1",
+    ),
+)
+def predictions_dropped(spark, sf):
+    """Rows whose prediction is missing or no number are left out."""
+    cv = fixture(spark, sf, "cv").select("kaggle_id", "model_id", "y_pred_oof")
+    gaps = F.when(F.col("kaggle_id") % 10 == 0, F.lit(None)).when(F.col("kaggle_id") % 10 == 1, float("nan")).otherwise(F.col("y_pred_oof"))
+    holed = cv.withColumn("y_pred_oof", gaps)
+    return rounded(holed.where(has_prediction(F.col("y_pred_oof"))))
+
+
 @query("optional_inputs", "SELECT 'orders' AS input, count(*) AS \"rows\" FROM orders")
 def optional_inputs(spark, sf):
     found = read_optional(spark, {"orders": f"{sf}/orders.parquet", "returns": f"{sf}/returns.parquet"})
@@ -338,7 +373,8 @@ def run_filter(spark, sf):
 
 @query(
     "existence",
-    "SELECT 'urgent' AS probe, 'true' AS found UNION ALL SELECT 'no such status', 'false'",
+    "SELECT 'urgent' AS probe, cast(EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = '1-URGENT') AS varchar) AS found"
+    " UNION ALL SELECT 'no such status', cast(EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'X') AS varchar)",
 )
 def existence(spark, sf):
     orders = table(spark, sf, "orders")

@@ -396,12 +396,12 @@ def _out_of_fold(spark, sf, make, floor, columns=FEATURES):
 
 @query("linear_regression_oof", LEARNED_SQL)
 def linear_regression_oof(spark, sf):
-    return _out_of_fold(spark, sf, lambda: regressors.linear_regression("SalePrice", exclude=["Id"]), 0.9, None)
+    return _out_of_fold(spark, sf, lambda: regressors.linear_regression("SalePrice", exclude=["Id"]), 0.5, None)
 
 
 @query("linear_regression_log_oof", LEARNED_SQL)
 def linear_regression_log_oof(spark, sf):
-    return _out_of_fold(spark, sf, lambda: regressors.linear_regression("SalePrice", "log", exclude=["Id"]), 0.8, None)
+    return _out_of_fold(spark, sf, lambda: regressors.linear_regression("SalePrice", "log", exclude=["Id"]), 0.3, None)
 
 
 @query("random_forest_oof", LEARNED_SQL)
