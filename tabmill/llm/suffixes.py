@@ -7,8 +7,9 @@ sorted: all strings of the others start earlier there, so the others are removed
 shard's text is sorted by induced sorting; common prefixes in text order say which neighbours in the suffix array
 share ``length`` bytes, and of each run of those all strings but the first in the corpus are repeats.
 
-A hash that names very many segments (a line most documents share) is divided: its segments are cut into single
-strings, dealt by their own hash, so no task needs the segments of one hash together.
+A hash with one segment that holds it once has nothing to compare. A hash that names very many different segments (a line most
+documents share) is divided: strings whose hash stands at about the same place share the bytes in the middle, equal strings all the more, so
+its segments are cut by that place and dealt by the bytes in the middle, and no task needs the segments of one hash together.
 
 Positions are ordered by document id, then by a checksum of the text, then by place. Defined results: a null text is an empty one; a null
 id comes before all others; rows of one id and one text are one document (neither comes earlier) and get the same result;
@@ -17,7 +18,7 @@ texts shorter than ``length`` keep all bytes; an empty table gives no rows. Only
 
 from __future__ import annotations
 
-import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,8 +32,10 @@ from tabmill.session import materialize
 
 LENGTH = 100
 GRAM = 24
-#: Occurrences of a hash from which its segments are divided, and bytes of text that are sorted at once. Results do not depend on them.
+#: Different segments of a hash from which they are divided, places of the hash that go together then, and bytes of text that are
+#: sorted at once. Results do not depend on them.
 DIVIDED_FROM = 1000
+PLACES = 10
 SORTED_AT_ONCE = 1 << 21
 _HASHED_AT_ONCE = 1 << 18
 #: Bits of a hash that give way to the place in a portion, which is shorter than three times the size above.
@@ -146,15 +149,48 @@ def _occurrences(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, ties = batch["doc_id"].to_numpy(), batch["tie"].to_numpy()
-            for text, hashes, content, start, size, _ in segments(_texts(batch), length, gram):
-                columns = [hashes, content, ids[text], ties[text] << 32 | start, size.astype(np.int32)]
-                yield pa.record_batch([pa.array(c) for c in columns], ["hash", "content", "doc_id", "place", "size"])
+            for text, hashes, content, start, size, uses in segments(_texts(batch), length, gram):
+                columns = [hashes, content, ids[text], ties[text] << 32 | start, size.astype(np.int32), uses.astype(np.int32)]
+                yield pa.record_batch([pa.array(c) for c in columns], ["hash", "content", "doc_id", "place", "size", "uses"])
 
     return run
 
 
-def _cut(length: int):
-    """Segments with their bytes. Those of a divided hash become single strings, of equal ones in a batch only the first.
+def divided(pieces: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, start, size, middle) of sub-segments: strings in a row whose hash stands at one of ``PLACES`` places.
+
+    The pieces hold less than 2^20 bytes together. ``middle`` is where the bytes that all strings of these places share begin, ``length`` less ``PLACES`` and one of them.
+    """
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    sizes = np.array([len(p) for p in pieces])
+    firsts = np.cumsum(sizes) - sizes
+    grams = _gram_hashes(data, gram) & ~_PLACE
+    least = _sliding_least(grams | np.arange(len(grams), dtype=np.uint64), length - gram + 1) & _PLACE
+    start = np.arange(len(least))
+    owner = np.searchsorted(firsts, start, "right") - 1
+    offset = start - firsts[owner]
+    inside = offset <= sizes[owner] - length
+    place = least[inside].astype(np.int64) - start[inside]  # of the hash in its string
+    start, owner, offset = start[inside], owner[inside], offset[inside]
+    anchor, band = start + place, place // PLACES
+    begins = np.append(True, (anchor[1:] != anchor[:-1]) | (band[1:] != band[:-1]) | (owner[1:] != owner[:-1]))
+    first = np.flatnonzero(begins)
+    count = np.diff(np.append(first, len(start)))
+    middle = offset[first] + place[first] - PLACES * band[first]
+    return owner[first], offset[first], count + length - 1, middle
+
+
+def _divided(pieces: list[bytes], length: int, gram: int) -> Iterator[tuple[int, int, int, int]]:
+    """The same for any number of pieces."""
+    group = np.cumsum([len(p) for p in pieces]) // (2 * _HASHED_AT_ONCE)
+    for first in np.flatnonzero(np.append(True, group[1:] != group[:-1])) if pieces else ():
+        some = pieces[first : np.searchsorted(group, group[first], "right")]
+        piece, *rest = (x.tolist() for x in divided(some, length, gram))
+        yield from zip((int(first) + p for p in piece), *rest, strict=True)
+
+
+def _cut(length: int, gram: int):
+    """Segments with their bytes. Those of a divided hash become sub-segments, of equal ones in a batch only the first.
 
     The others are repeats already; they go on without bytes, spread over parts of their own.
     """
@@ -162,7 +198,7 @@ def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
-            first: dict[tuple, tuple] = {}
+            large: tuple[list, list] = ([], [])
 
             def put(*row, out=out) -> None:
                 for column, value in zip(out, row, strict=True):
@@ -172,20 +208,23 @@ def _cut(length: int):
                 for cut in cuts:
                     start = cut["place"] & 0xFFFFFFFF
                     piece = text[start : start + cut["size"]]
-                    if cut["parts"] < 2:
+                    if cut["divided"]:
+                        large[0].append((cut["hash"], doc_id, cut["place"]))
+                        large[1].append(piece)
+                    else:
                         put(cut["hash"], 0, doc_id, cut["place"], piece)
-                        continue
-                    for i in range(len(piece) - length + 1):
-                        string, at = piece[i : i + length], (doc_id, cut["place"] + i)
-                        known = first.get((cut["hash"], string))
-                        if known is None or at < known[0]:
-                            part = int.from_bytes(hashlib.blake2b(string, digest_size=4).digest(), "little") % cut["parts"]
-                            first[cut["hash"], string] = at, part
-                        if known is not None and at != known[0]:
-                            later = max(at, known[0])
-                            put(cut["hash"], -1 - later[1] % cut["parts"], *later, None)
-            for (hash_, string), (at, part) in first.items():
-                put(hash_, part, *at, string)
+            first: dict[tuple, tuple] = {}
+            for of, start, size, middle in _divided(large[1], length, gram):
+                (hash_, doc_id, place), piece = large[0][of], large[1][of]
+                part = zlib.crc32(piece[middle : middle + length - PLACES + 1]) % (1 << 30) + 1
+                key, at = (hash_, part, piece[start : start + size]), (doc_id, place + start)
+                known = first.setdefault(key, at)
+                if at != known:
+                    first[key] = min(at, known)
+                    put(hash_, -1 - place % (1 << 20), *max(at, known), None)
+                    out[0][-1] = size  # a repeat without bytes tells its size in place of the hash
+            for (hash_, part, piece), (doc_id, place) in first.items():
+                put(hash_, part, doc_id, place, piece)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["hash", "part", "doc_id", "place", "piece"])
 
@@ -243,7 +282,7 @@ def _sort_shards(length: int):
         piece, start, stop = _spans(piece, offset, length)
         for doc_id, place, size in (
             (ids[piece], places[piece] + start, stop - start),
-            (repeats["doc_id"].to_numpy(), repeats["place"].to_numpy(), np.full(len(repeats), length)),
+            (repeats["doc_id"].to_numpy(), repeats["place"].to_numpy(), repeats["hash"].to_numpy()),
         ):
             yield pa.record_batch([pa.array(doc_id), pa.array(place), pa.array(size.astype(np.int32))], ["doc_id", "place", "size"])
 
@@ -292,24 +331,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     """(doc_id, tie, start, size) of bytes covered by repeated strings; spans may overlap. ``tie`` is the text's checksum."""
     keyed = _keyed(docs, id_col, text_col)
     counts = keyed.select("text").mapInArrow(_hash_counts(length, GRAM), "hash long, n long")
-    shared = materialize(counts.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1"), "shared-hashes")
-    every = keyed.mapInArrow(_occurrences(length, GRAM), "hash long, content long, doc_id long, place long, size int")
-    met = materialize(every.join(shared, "hash"), "shared-segments")
+    shared = materialize(counts.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash"), "shared-hashes")
+    every = keyed.mapInArrow(_occurrences(length, GRAM), "hash long, content long, doc_id long, place long, size int, uses int")
+    met = materialize(every.join(shared, "hash", "left_semi"), "shared-segments")
 
     key = ["hash", "content"]
     firsts = met.groupBy(*key).agg(
-        F.min(F.struct("doc_id", "place")).alias("at"), F.first("size").alias("size"), F.first("n").alias("n"), F.count("*").alias("copies")
-    ).select(*key, F.col("at.doc_id").alias("doc_id"), F.col("at.place").alias("place"), "size", "n", "copies")
+        F.min(F.struct("doc_id", "place")).alias("at"), F.max("size").alias("size"), F.max("uses").alias("uses"), F.count("*").alias("copies")
+    ).select(*key, F.col("at.doc_id").alias("doc_id"), F.col("at.place").alias("place"), "size", "uses", "copies")
     firsts = materialize(firsts, "first-segments")
 
     copied = firsts.where("copies > 1").select(*key, F.col("doc_id").alias("first_id"), F.col("place").alias("first_place"))
     others = met.join(copied, key).where("doc_id != first_id or place != first_place").select("doc_id", "place", "size")
 
-    parts = F.ceil(F.col("n") / DIVIDED_FROM).cast("int")
-    cuts = firsts.select("doc_id", _document(F.col("place")).alias("tie"), F.struct("hash", "place", "size", parts.alias("parts")).alias("cut"))
+    different = firsts.groupBy("hash").agg(F.count("*").alias("n"), F.max("uses").alias("most")).where("n > 1 or most > 1")
+    compared = firsts.join(different.select("hash", (F.col("n") > DIVIDED_FROM).alias("divided")), "hash")
+    cuts = compared.select("doc_id", _document(F.col("place")).alias("tie"), F.struct("hash", "place", "size", "divided").alias("cut"))
     cuts = cuts.groupBy("doc_id", "tie").agg(F.collect_list("cut").alias("cuts"))  # one for each stretch of a text at most
     pieces = keyed.join(cuts, ["doc_id", "tie"]).select("doc_id", "text", "cuts").mapInArrow(
-        _cut(length), "hash long, part int, doc_id long, place long, piece binary"
+        _cut(length, GRAM), "hash long, part int, doc_id long, place long, piece binary"
     )
     shards = pieces.repartition("hash", "part").sortWithinPartitions("hash", "part")
     repeats = shards.mapInArrow(_sort_shards(length), "doc_id long, place long, size int")

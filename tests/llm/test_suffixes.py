@@ -77,6 +77,23 @@ def test_against_brute_force(spark, monkeypatch, divided, at_once):
     assert sorted((str(r["doc_id"]), bytes(r["kept"]), len(r["spans"])) for r in got) == brute(rows)
 
 
+def test_equal_strings_of_divided_segments_share_their_middle(monkeypatch):
+    monkeypatch.setattr(suffixes, "_HASHED_AT_ONCE", 400)
+    rng = random.Random(10)
+    line = bytes(rng.choices(b"abcdef", k=130))
+    texts = [bytes(rng.choices(b"abcdef", k=rng.randint(0, 90))) + line + bytes(rng.choices(b"abcdef", k=rng.randint(0, 90))) for _ in range(30)]
+    texts += [b"ab" * 120, b"abc" * 90]
+    middles, covered = {}, [np.zeros(len(t) - 99, int) for t in texts]
+    for piece, start, size, middle in suffixes._divided(texts, 100, suffixes.GRAM):
+        for at in range(start, start + size - 99):
+            covered[piece][at] += 1
+            shared = texts[piece][middle : middle + 91]
+            assert len(shared) == 91 and shared in texts[piece][at : at + 100]
+            assert middles.setdefault(texts[piece][at : at + 100], shared) == shared
+    assert all((c == 1).all() for c in covered)
+    assert list(suffixes._divided([], 100, suffixes.GRAM)) == []
+
+
 def test_rows_of_one_id(spark):
     rng = random.Random(8)
     text, other = sentences(rng, 40), sentences(rng, 40)
