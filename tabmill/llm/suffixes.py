@@ -345,7 +345,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     others = met.join(copied, key).where("doc_id != first_id or place != first_place").select("doc_id", "place", "size")
 
     different = firsts.groupBy("hash").agg(F.count("*").alias("n"), F.max("uses").alias("most")).where("n > 1 or most > 1")
-    compared = firsts.join(different.select("hash", (F.col("n") > DIVIDED_FROM).alias("divided")), "hash")
+    different = materialize(different.select("hash", (F.col("n") > DIVIDED_FROM).alias("divided")), "compared-hashes")
+    compared = firsts.join(different, "hash")  # both stored: Spark may split a hash with many segments
     cuts = compared.select("doc_id", _document(F.col("place")).alias("tie"), F.struct("hash", "place", "size", "divided").alias("cut"))
     cuts = cuts.groupBy("doc_id", "tie").agg(F.collect_list("cut").alias("cuts"))  # one for each stretch of a text at most
     pieces = keyed.join(cuts, ["doc_id", "tie"]).select("doc_id", "text", "cuts").mapInArrow(
