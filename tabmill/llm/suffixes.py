@@ -10,6 +10,8 @@ share ``length`` bytes, and of each run of those all strings but the first in th
 A hash with one segment that holds it once has nothing to compare. A hash that names very many different segments (a line most
 documents share) is divided: strings whose hash stands at about the same place share the bytes in the middle, equal strings all the more, so
 its segments are cut by that place and dealt by the bytes in the middle, and no task needs the segments of one hash together.
+Where very many pieces share their middle as well (the line is longer than that, and each document goes on differently), they are cut into
+single strings, dealt by all their bytes: then only equal strings meet, one for each Arrow batch that has it.
 
 Positions are ordered by document id, then by a checksum of the text, then by place. Defined results: a null text is an empty one; a null
 id comes before all others; rows of one id and one text are one document (neither comes earlier) and get the same result;
@@ -28,13 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabmill.llm.induced import common_prefixes, suffix_array
-from tabmill.session import materialize
+from tabmill.session import discard, materialize
 
 LENGTH = 100
 GRAM = 24
-#: Different segments of a hash from which they are divided, places of the hash that go together then, and bytes of text that are
-#: sorted at once. Results do not depend on them.
+#: Different segments of a hash from which they are divided, pieces of one middle from which they become single strings, places of the
+#: hash that go together when divided, and bytes of text that are sorted at once. Results do not depend on them.
 DIVIDED_FROM = 1000
+CROWDED_FROM = 1000
 PLACES = 10
 SORTED_AT_ONCE = 1 << 21
 _HASHED_AT_ONCE = 1 << 18
@@ -189,21 +192,39 @@ def _divided(pieces: list[bytes], length: int, gram: int) -> Iterator[tuple[int,
         yield from zip((int(first) + p for p in piece), *rest, strict=True)
 
 
-def _cut(length: int, gram: int):
-    """Segments with their bytes. Those of a divided hash become sub-segments, of equal ones in a batch only the first.
+_PIECE_TYPES = {"hash": pa.int64(), "part": pa.int32(), "doc_id": pa.int64(), "place": pa.int64(), "piece": pa.binary()}
+_PIECES = "hash long, part int, doc_id long, place long, piece binary"
+#: Parts up to here hold sub-segments, those beyond single strings.
+_MIDDLES = 1 << 30
 
-    The others are repeats already; they go on without bytes, spread over parts of their own.
-    """
+
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(_PIECE_TYPES)
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, _PIECE_TYPES.values(), strict=True)], list(_PIECE_TYPES))
+
+
+def _only_first(found: Iterable[tuple[int, int, int, int, bytes]]) -> Iterator[tuple]:
+    """Of equal pieces of a part the first. The others are repeats already: they go on without bytes, spread over parts of their own,
+    with their size in place of the hash."""
+    first: dict[tuple, tuple] = {}
+    for hash_, part, doc_id, place, piece in found:
+        key, at = (hash_, part, piece), (doc_id, place)
+        known = first.setdefault(key, at)
+        if at != known:
+            first[key] = min(at, known)
+            doc_id, place = max(at, known)
+            yield len(piece), -1 - place % (1 << 20), doc_id, place, None
+    for (hash_, part, piece), (doc_id, place) in first.items():
+        yield hash_, part, doc_id, place, piece
+
+
+def _cut(length: int, gram: int):
+    """Segments with their bytes. Those of a divided hash become sub-segments, of equal ones in a batch only the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
+            out: list[tuple] = []
             large: tuple[list, list] = ([], [])
-
-            def put(*row, out=out) -> None:
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-
             for text, doc_id, cuts in zip(_texts(batch), batch["doc_id"].to_pylist(), batch["cuts"].to_pylist(), strict=True):
                 for cut in cuts:
                     start = cut["place"] & 0xFFFFFFFF
@@ -212,21 +233,28 @@ def _cut(length: int, gram: int):
                         large[0].append((cut["hash"], doc_id, cut["place"]))
                         large[1].append(piece)
                     else:
-                        put(cut["hash"], 0, doc_id, cut["place"], piece)
-            first: dict[tuple, tuple] = {}
-            for of, start, size, middle in _divided(large[1], length, gram):
-                (hash_, doc_id, place), piece = large[0][of], large[1][of]
-                part = zlib.crc32(piece[middle : middle + length - PLACES + 1]) % (1 << 30) + 1
-                key, at = (hash_, part, piece[start : start + size]), (doc_id, place + start)
-                known = first.setdefault(key, at)
-                if at != known:
-                    first[key] = min(at, known)
-                    put(hash_, -1 - place % (1 << 20), *max(at, known), None)
-                    out[0][-1] = size  # a repeat without bytes tells its size in place of the hash
-            for (hash_, part, piece), (doc_id, place) in first.items():
-                put(hash_, part, doc_id, place, piece)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["hash", "part", "doc_id", "place", "piece"])
+                        out.append((cut["hash"], 0, doc_id, cut["place"], piece))
+
+            def dealt(large=large) -> Iterator[tuple]:
+                for of, start, size, middle in _divided(large[1], length, gram):
+                    (hash_, doc_id, place), piece = large[0][of], large[1][of]
+                    part = zlib.crc32(piece[middle : middle + length - PLACES + 1]) % _MIDDLES + 1
+                    yield hash_, part, doc_id, place + start, piece[start : start + size]
+
+            out.extend(_only_first(dealt()))
+            yield _pieces(out)
+
+    return run
+
+
+def _strings(length: int):
+    """The single strings of sub-segments, dealt by all their bytes; of equal ones in a batch only the first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch[c].to_pylist() for c in ("hash", "doc_id", "place", "piece")), strict=True)
+            strings = ((h, d, p + i, piece[i : i + length]) for h, d, p, piece in rows for i in range(len(piece) - length + 1))
+            yield _pieces(list(_only_first((h, _MIDDLES + 1 + zlib.crc32(s) % (_MIDDLES - 1), d, p, s) for h, d, p, s in strings)))
 
     return run
 
@@ -334,6 +362,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     shared = materialize(counts.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash"), "shared-hashes")
     every = keyed.mapInArrow(_occurrences(length, GRAM), "hash long, content long, doc_id long, place long, size int, uses int")
     met = materialize(every.join(shared, "hash", "left_semi"), "shared-segments")
+    discard(shared)
 
     key = ["hash", "content"]
     firsts = met.groupBy(*key).agg(
@@ -343,16 +372,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     copied = firsts.where("copies > 1").select(*key, F.col("doc_id").alias("first_id"), F.col("place").alias("first_place"))
     others = met.join(copied, key).where("doc_id != first_id or place != first_place").select("doc_id", "place", "size")
+    others = materialize(others, "copied-segments")
+    discard(met)
 
     different = firsts.groupBy("hash").agg(F.count("*").alias("n"), F.max("uses").alias("most")).where("n > 1 or most > 1")
     different = materialize(different.select("hash", (F.col("n") > DIVIDED_FROM).alias("divided")), "compared-hashes")
     compared = firsts.join(different, "hash")  # both stored: Spark may split a hash with many segments
     cuts = compared.select("doc_id", _document(F.col("place")).alias("tie"), F.struct("hash", "place", "size", "divided").alias("cut"))
     cuts = cuts.groupBy("doc_id", "tie").agg(F.collect_list("cut").alias("cuts"))  # one for each stretch of a text at most
-    pieces = keyed.join(cuts, ["doc_id", "tie"]).select("doc_id", "text", "cuts").mapInArrow(
-        _cut(length, GRAM), "hash long, part int, doc_id long, place long, piece binary"
-    )
-    shards = pieces.repartition("hash", "part").sortWithinPartitions("hash", "part")
+    pieces = keyed.join(cuts, ["doc_id", "tie"]).select("doc_id", "text", "cuts").mapInArrow(_cut(length, GRAM), _PIECES)
+    pieces = materialize(pieces, "cut-pieces")
+    discard(firsts, different)
+
+    middle = ["hash", "part"]
+    dealt = pieces.where("part > 0")
+    crowded = dealt.groupBy(*middle).agg(F.count("*").alias("n")).where(F.col("n") > CROWDED_FROM).select(*middle)
+    crowded = materialize(crowded, "crowded-middles")
+    strings = dealt.join(crowded, middle, "left_semi").mapInArrow(_strings(length), _PIECES)
+    apart = pieces.where("part <= 0").union(dealt.join(crowded, middle, "left_anti").select(*pieces.columns)).union(strings)
+    shards = apart.repartition(*middle).sortWithinPartitions(*middle)
     repeats = shards.mapInArrow(_sort_shards(length), "doc_id long, place long, size int")
     return others.union(repeats).select(
         "doc_id", _document(F.col("place")).alias("tie"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("long").alias("start"), "size"

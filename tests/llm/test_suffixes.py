@@ -1,6 +1,7 @@
 """Suffix arrays and the removal of repeats against brute force."""
 
 import random
+import uuid
 
 import numpy as np
 import pytest
@@ -94,6 +95,27 @@ def test_equal_strings_of_divided_segments_share_their_middle(monkeypatch):
     assert list(suffixes._divided([], 100, suffixes.GRAM)) == []
 
 
+def test_pieces_that_share_only_their_middle_are_sorted_apart(spark, monkeypatch, tmp_path):
+    """A line of a hundred bytes and more between texts that differ: no group of a task grows with the documents."""
+    real = suffixes.repeated_strings
+
+    def noted(pieces, doc_ids, places, length):
+        (tmp_path / uuid.uuid4().hex).write_text(str(max(map(len, pieces), default=0) and sum(map(len, pieces))))
+        return real(pieces, doc_ids, places, length)
+
+    monkeypatch.setattr(suffixes, "DIVIDED_FROM", 3)
+    monkeypatch.setattr(suffixes, "CROWDED_FROM", 20, raising=False)
+    monkeypatch.setattr(suffixes, "SORTED_AT_ONCE", 1)
+    monkeypatch.setattr(suffixes, "repeated_strings", noted)
+    rng = random.Random(11)
+    line = "".join(rng.choices("abcdefgh", k=104))
+    rows = [(i, "".join(rng.choices("abcdefgh", k=120)) + line + "".join(rng.choices("abcdefgh", k=120))) for i in range(300)]
+    docs = spark.createDataFrame([(i, t, "", 0, "") for i, t in rows], SCHEMA).repartition(2)
+    got = suffixes.remove_repeats(docs).select("row.doc_id", "kept", "spans").collect()
+    assert sorted((str(r["doc_id"]), bytes(r["kept"]), len(r["spans"])) for r in got) == brute(rows)
+    assert max(int(f.read_text()) for f in tmp_path.iterdir()) <= 20 * 109
+
+
 def test_rows_of_one_id(spark):
     rng = random.Random(8)
     text, other = sentences(rng, 40), sentences(rng, 40)
