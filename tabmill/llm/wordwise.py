@@ -43,8 +43,8 @@ def whole(piece: str) -> str:
 
 
 def is_word(text: str) -> bool:
-    """Letters only, of those every version of Unicode calls letters."""
-    return text.isalpha() and (text.isascii() or max(text) < "\u0250")
+    """Letters only, of those every version of Unicode calls letters, none of which is lower-cased to a letter and a mark."""
+    return text.isalpha() and (text.isascii() or max(text) < "\u0250" and "\u0130" not in text)
 
 
 def pieces_with_space(texts: pa.Array) -> pa.ListArray:

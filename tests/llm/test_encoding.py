@@ -48,6 +48,16 @@ def test_pieces_give_the_ids_of_whole_texts(byte_ids, kept, monkeypatch):
     assert _lists(wordwise.PieceEncoder(WORD_BPE, keeps_space=False).encode(pa.array(ALL))) == [word.encode(t, add_special_tokens=False).ids for t in ALL]
 
 
+def test_marks_behind_a_letter_that_is_lower_cased_to_two():
+    texts = [before + "İ" + marks + after for before in ("", "abc", "x ") for marks in (".", ",", ":", "...", ")", "--") for after in ("", " b", "\nb")]
+    for path, keeps_space in ((WORD_BPE, False), (BYTE_BPE, True)):
+        library = Tokenizer.from_file(path)
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert _lists(wordwise.PieceEncoder(path, keeps_space=keeps_space).encode(pa.array(texts))) == want
+    two = {chr(c) for c in range(0x250) if chr(c).isalpha() and len(chr(c).lower()) > 1}
+    assert two == {"İ"} and not any(map(wordwise.is_word, two))
+
+
 def test_portions_keep_every_row(monkeypatch):
     monkeypatch.setattr(wordwise, "PORTION_BYTES", 7)
     batch = pa.record_batch([pa.array(range(5)), pa.array(["aaaa", None, "b" * 30, "", "cc"])], ["id", "text"])
