@@ -2,8 +2,11 @@
 
 import pytest
 
+from tabmill.ml.regressors import default_configs
+from tabmill.plans import layers
 from workload.catalog import QUERIES, SQL
 from workload.check import compare
+from workload.fixtures import fixture
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -17,3 +20,22 @@ def test_entry_point(spark):
 
     assert entry.entry(spark).limit(1).count() == 1
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["model_comparison", "champion_only_training", "stored_model_scores"])
+def test_comparisons_take_all_configurations_columns_and_folds(spark, sf, monkeypatch, name):
+    from workload import training
+
+    asked = {}
+
+    def noted(df, configs, *args, **options):
+        asked.update(options, columns=df.columns, configs=configs)
+        raise InterruptedError
+
+    monkeypatch.setattr(training.training, "evaluate", noted)
+    with pytest.raises(InterruptedError):
+        QUERIES[name](spark, sf)
+    assert [c.name for c in asked["configs"]] == [c.name for c in default_configs("SalePrice")] and len(asked["configs"]) == 8
+    assert asked["k"] == 5 and asked["columns"] == layers.prepare(fixture(spark, sf, "houses")).columns
+    forest = next(c for c in asked["configs"] if c.name == "RandomForest").factory().estimator.getStages()[-1]
+    assert forest.getNumTrees() == 300

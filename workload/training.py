@@ -433,37 +433,31 @@ def feature_importances(spark, sf):
     return top_importances(stages[0].transform(houses), stages[-1].featureImportances)
 
 
-def _configs(*names):
-    return [c for c in regressors.default_configs("SalePrice", **SMALL) if c.name in names]
+def _compared(spark, sf, mode="analysis"):
+    """The gold table and the comparison of all default configurations on all its columns and five folds."""
+    gold = materialize(layers.prepare(fixture(spark, sf, "houses")), "gold")
+    found = training.evaluate(
+        gold, regressors.default_configs("SalePrice"), "Id", "SalePrice", "20240131_000000", STAMP,
+        k=K, mode=mode, model_dir=scratch_path(spark, "models"),
+    )
+    return gold, found
 
 
 @query("model_comparison")
 def model_comparison(spark, sf):
-    """Two configurations through cross-validation, hold-out, champion, refit and storage."""
-    found = training.evaluate(
-        _features(spark, sf), _configs("LinearRegression", "LinearRegression_log"), "Id", "SalePrice", "20240131_000000", STAMP,
-        k=2, model_dir=scratch_path(spark, "models"),
-    )
-    return found.models
+    """All configurations through cross-validation, hold-out, champion, refit and storage."""
+    return _compared(spark, sf)[1].models
 
 
 @query("champion_only_training")
 def champion_only_training(spark, sf):
-    found = training.evaluate(
-        _features(spark, sf), _configs("LinearRegression", "LinearRegression_log"), "Id", "SalePrice", "20240131_000000", STAMP,
-        k=2, mode="train-only", model_dir=scratch_path(spark, "models"),
-    )
-    return found.models
+    return _compared(spark, sf, "train-only")[1].models
 
 
 @query("stored_model_scores")
 def stored_model_scores(spark, sf):
     """Train from the raw table, store the champion, load it and score the table without label."""
-    gold = materialize(layers.prepare(fixture(spark, sf, "houses")).select("Id", "SalePrice", "TotalSF", "QualSF", "MSZoning"), "gold")
-    found = training.evaluate(
-        gold, _configs("LinearRegression"), "Id", "SalePrice", "20240131_000000", STAMP, k=2,
-        model_dir=scratch_path(spark, "models"),
-    )
+    gold, found = _compared(spark, sf)
     return score_with_stored(found.models, gold.drop("SalePrice"), "Id", STAMP)
 
 
