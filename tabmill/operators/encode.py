@@ -107,14 +107,16 @@ def levels(df: DataFrame, columns: Sequence[str], min_frequency: int | float = 1
 def group_rare(df: DataFrame, level_table: DataFrame, columns: Sequence[str], max_levels: int = MAX_KEPT_LEVELS) -> DataFrame:
     """Replace rare levels by one marker and levels not seen in fitting by NULL.
 
-    Kept levels are a bounded list that the plan holds, and rows that have one do not take part in the look-up of rare
-    levels: only rows with a rare or unseen level are joined by it, so a frequent level is no hot key.
+    The ``max_levels`` most frequent kept levels are a list that the plan holds, and rows that have one do not take part in the
+    look-up of the others: only rows with another level are joined by it, so a frequent level is no hot key.
     """
-    kept = kept_levels(level_table, columns, max_levels)
+    kept = level_table.where(F.col("column").isin(list(columns)) & F.col("kept"))
+    marker = F.col("value") == INFREQUENT
+    found = kept.orderBy(marker.desc(), F.col("n").desc(), "column", "value").limit(max_levels).select("column", "value").collect()
     out = fill_category(df, columns)
     for c in columns:
-        rare = level_table.where((F.col("column") == c) & ~F.col("kept")).select(F.col("value").alias("_value"))
-        out = _marked(out, c, kept.get(c, []), rare)
+        known = level_table.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("kept").alias("_kept"))
+        out = _marked(out, c, sorted(r["value"] for r in found if r["column"] == c), known)
     return out
 
 
@@ -136,13 +138,13 @@ def _with_rare(df: DataFrame, c: str, kept: list[str], rare: DataFrame) -> DataF
     return df.withColumn("_probe", F.when(~is_kept, col(c))).join(rare, F.col("_probe") == F.col("_value"), "left").drop("_probe")
 
 
-def _marked(df: DataFrame, c: str, kept: list[str], rare: DataFrame) -> DataFrame:
-    """Column ``c`` with rare levels as one marker and unseen ones as NULL."""
+def _marked(df: DataFrame, c: str, kept: list[str], known: DataFrame) -> DataFrame:
+    """Column ``c`` with rare levels as one marker and unseen ones as NULL; ``known`` tells of every level whether it is kept."""
     if INFREQUENT in kept:
         raise ValueError(f"column {c} has a level {INFREQUENT!r}, which marks rare levels")
-    level = F.when(F.col("_value").isNotNull(), F.lit(INFREQUENT))
+    level = F.when(F.col("_kept"), col(c)).when(F.col("_value").isNotNull(), F.lit(INFREQUENT))
     level = F.when(col(c).isin(kept), col(c)).otherwise(level) if kept else level
-    return _with_rare(df, c, kept, rare).withColumn(c, level).drop("_value")
+    return _with_rare(df, c, kept, known).withColumn(c, level).drop("_value", "_kept")
 
 
 def level_column(column: str, level: str | None) -> str:

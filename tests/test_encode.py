@@ -110,3 +110,12 @@ def test_cv_mean_is_the_mean_of_the_folds(spark):
     df = spark.createDataFrame([(0, 0.0, 1.0), (1, 0.0, 3.0), (1, 0.0, 3.0)], "fold int, y double, p double")
     r = metrics.fold_summary(df, "y", "p", "fold").first()
     assert (r["cv_rmse_mean"], r["cv_rmse_std"]) == (2.0, 1.0)
+
+
+def test_any_number_of_kept_levels_is_grouped(spark):
+    seen = spark.createDataFrame([(v,) for v in "aaabbbccdde"], "c string")
+    table = encode.levels(seen, ["c"], 2)
+    new = spark.createDataFrame([(v,) for v in "aabcdex"], "c string")
+    for most in (4, 1):
+        got = [r["c"] for r in encode.group_rare(new, table, ["c"], max_levels=most).collect()]
+        assert sorted(got, key=str) == sorted(["a", "a", "b", "c", "d", encode.INFREQUENT, None], key=str)
