@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,19 +18,27 @@ def hash_bucket(key: Column, salt: str, buckets: int, missing: Column | None = N
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
 
 
-def _content(df: DataFrame, key: str) -> Column:
-    """The other columns as text: spreads the rows whose key is missing."""
-    return F.xxhash64(*[col(c) for c in df.columns if c != key]).cast("string") if len(df.columns) > 1 else F.lit("")
+def _spread(columns: Sequence[str]) -> Column:
+    """A text from a few named columns that spreads the rows whose key is missing. Never all columns: an expression
+    over a wide table is repeated in every filter on the bucket, and the optimizer does not end over an unstored one."""
+    return F.xxhash64(*[col(c) for c in columns]).cast("string") if columns else F.lit("")
+
 
+def mark_holdout(
+    df: DataFrame, key: str, percent: int = 20, seed: int = 42, name: str = "is_holdout", spread_by: Sequence[str] = ()
+) -> DataFrame:
+    """Flag a share of the rows as hold-out; the salt differs from the one of the folds.
 
-def mark_holdout(df: DataFrame, key: str, percent: int = 20, seed: int = 42, name: str = "is_holdout") -> DataFrame:
-    """Flag a share of the rows as hold-out; the salt differs from the one of the folds. Rows without key go by their content."""
-    return df.withColumn(name, hash_bucket(col(key), f"{seed}:split", 100, _content(df, key)) < percent)
+    Rows without key go by the columns of ``spread_by``; without such columns they all get the same flag.
+    """
+    return df.withColumn(name, hash_bucket(col(key), f"{seed}:split", 100, _spread(spread_by)) < percent)
 
 
-def assign_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
-    """Shuffled folds 0..k-1. Rows without key go by their content."""
-    return df.withColumn(name, hash_bucket(col(key), f"{seed}:fold", k, _content(df, key)))
+def assign_folds(
+    df: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fold", spread_by: Sequence[str] = ()
+) -> DataFrame:
+    """Shuffled folds 0..k-1. Rows without key go by the columns of ``spread_by``; without such columns they share a fold."""
+    return df.withColumn(name, hash_bucket(col(key), f"{seed}:fold", k, _spread(spread_by)))
 
 
 def contiguous_folds(df: DataFrame, key: str, k: int = 5, name: str = "fold") -> DataFrame:

@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    # run versions are text, also where they name the folders of a history
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 # The JVM does not compile methods beyond 8000 bytes of bytecode. Generated code of a wide table

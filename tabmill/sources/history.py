@@ -19,6 +19,8 @@ RUN_TABLES = {"models": "version", "train_cv_predictions": "model_version", "pre
 
 # Names the delivery a row came with; a folder below the run's.
 PART = "_part"
+# The columns that name folders; text, whatever their values look like.
+FOLDERS = (*dict.fromkeys(RUN_TABLES.values()), PART)
 
 
 def append_history(df: DataFrame, path: str) -> None:
@@ -71,7 +73,7 @@ def new_runs(stored: DataFrame | None, incoming: DataFrame, version: str) -> Dat
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
     """A RAW table as it was loaded; None if nothing was written yet."""
-    stored = read_growing(spark, path)
+    stored = read_growing(spark, path, FOLDERS)
     return stored.drop(PART) if stored is not None else None
 
 
@@ -112,7 +114,7 @@ def _load_stored(spark: SparkSession, incoming: DataFrame, path: str, version: s
         wanted = parts
         if skip == "none":
             wanted = parts.withColumn(PART, F.lit(uuid.uuid4().hex))
-        stored = read_growing(spark, path) if mode == "append" and skip != "none" else None
+        stored = read_growing(spark, path, (version, PART)) if mode == "append" and skip != "none" else None
         if stored is not None:
             if skip == "snapshot" and any_run_loaded(stored, parts, version):
                 return False
@@ -135,11 +137,11 @@ def _load_stored(spark: SparkSession, incoming: DataFrame, path: str, version: s
 
 def register_raw(spark: SparkSession, name: str, path: str) -> None:
     """Make a RAW folder a table of the catalog, with the columns and runs it has now; no rows are read or moved."""
-    stored = read_growing(spark, path)
+    stored = read_growing(spark, path, FOLDERS)
     if stored is None:
         raise ValueError(f"nothing was loaded at {path}")
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in stored.schema.fields)
-    runs = ", ".join(quoted(c) for c in stored.columns if c in (*RUN_TABLES.values(), PART))
+    runs = ", ".join(quoted(c) for c in stored.columns if c in FOLDERS)
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
     spark.sql(
         f"CREATE TABLE IDENTIFIER(:name) ({columns}) USING parquet PARTITIONED BY ({runs}) LOCATION '{path}'", args={"name": name}

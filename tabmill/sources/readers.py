@@ -66,12 +66,17 @@ def read_optional(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, Da
     return {name: read_features(spark, path) for name, path in paths.items() if path_exists(spark, path)}
 
 
-def read_growing(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet history whose parts may have gained columns; None if nothing was written yet."""
+def read_growing(spark: SparkSession, path: str, text: Sequence[str] = ()) -> DataFrame | None:
+    """A Parquet history whose parts may have gained columns; None if nothing was written yet.
+
+    The columns named in ``text`` stay text where they name folders, whatever their values look like.
+    """
     if not path_exists(spark, path):
         return None
     try:
-        return spark.read.option("mergeSchema", True).parquet(path)
+        found = spark.read.option("mergeSchema", True).parquet(path)
+        schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in text else f for f in found.schema])
+        return spark.read.schema(schema).parquet(path) if schema != found.schema else found
     except AnalysisException as error:
         if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None

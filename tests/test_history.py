@@ -14,7 +14,7 @@ def run(spark, version, *values):
 
 
 def stored(spark, path):
-    return sorted((r["version"] or "", r["v"]) for r in read_growing(spark, path).collect())
+    return sorted((r["version"] or "", r["v"]) for r in history.read_raw(spark, path).collect())
 
 
 def test_a_run_is_loaded_once(spark, tmp_path):

@@ -3,13 +3,16 @@
 import math
 import random
 import statistics
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tabmill.operators.folds import assign_folds, contiguous_folds, mark_holdout
 from tabmill.operators.ranks import medians, values_at_ranks
+from workload.fixtures import fixture
 
 PATHS = [
     {},  # counted by value in one buffer
@@ -95,3 +98,17 @@ def test_holdout_is_independent_of_folds(spark):
     shares = [r["s"] for r in both.groupBy("fold").agg({"is_holdout": "count"}).selectExpr("`count(is_holdout)` AS s").collect()]
     held = both.where("is_holdout").groupBy("fold").count().collect()
     assert all(800 < s < 1200 for s in shares) and all(150 < r["count"] < 260 for r in held)
+
+
+def test_rows_without_key_are_spread_by_named_columns(spark):
+    rows = spark.range(1000).select(F.lit(None).cast("long").alias("k"), "id")
+    assert len(assign_folds(rows, "k").select("fold").distinct().collect()) == 1
+    assert len(assign_folds(rows, "k", spread_by=["id"]).select("fold").distinct().collect()) == 5
+    assert mark_holdout(rows, "k", spread_by=["id"]).select("is_holdout").distinct().count() == 2
+
+
+def test_fold_medians_of_an_unstored_wide_table_are_planned_quickly(spark, sf):
+    began = time.perf_counter()
+    folded = assign_folds(fixture(spark, sf, "houses"), "Id").where("fold != 1 and GrLivArea is not null and GarageArea is not null")
+    folded.groupBy("fold").count()._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - began < 5

@@ -79,7 +79,9 @@ def contiguous_folds_text_key(spark, sf):
 def folds_with_missing_keys(spark, sf):
     """Every row has a fold and a flag, also where its key is missing; which one is fixed by the key where there is one."""
     keyed = table(spark, sf, "orders").select(F.expr("CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey END").alias("key"), "o_custkey", "o_totalprice")
-    marked = folds.mark_holdout(folds.assign_folds(keyed, "key", K), "key")
+    marked = folds.mark_holdout(
+        folds.assign_folds(keyed, "key", K, spread_by=["o_custkey", "o_totalprice"]), "key", spread_by=["o_custkey", "o_totalprice"]
+    )
     return marked.select(
         "key", F.when(F.col("key").isNotNull(), F.col("fold")).alias("fold"),
         F.col("fold").isNotNull().cast("int").alias("has_fold"), F.col("is_holdout").isNotNull().cast("int").alias("has_flag"),
