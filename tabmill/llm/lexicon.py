@@ -13,6 +13,7 @@ lexicon. Only the named columns are read.
 
 from __future__ import annotations
 
+import heapq
 import json
 import uuid
 from array import array
@@ -34,6 +35,10 @@ from tabmill.session import materialize, shared_root
 LEXICON_PIECES = 1 << 17
 #: Bytes of a word that the automaton takes; longer ones are merged.
 LONGEST_WORD = 48
+#: Bytes from which a word is merged alone, by neighbours and a heap, in time that grows little faster than its length.
+LONG_MERGE = 512
+#: Bytes of text that a worker cuts and encodes at once; only its memory depends on it.
+PORTION = 3_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -67,6 +72,7 @@ class Merges:
         self.keys = np.append(keys[order], np.iinfo(np.int64).max)
         self.rank = np.append(order, self.none)
         self.made = np.array([vocab[a + b] for a, b in pairs] + [0], np.int64)
+        self.by_pair: dict[int, int] = {}
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
@@ -99,11 +105,52 @@ class Merges:
                     r, a = each[has], at[has]
                     ranks[r, a] = self._ranks(tokens[r, a], tokens[r, a + 1])
 
-    def encode(self, words: list[bytes], at_once: int = 1 << 22) -> list[bytes]:
+    def _long(self, word: bytes) -> bytes:
+        """Ids of one long word. Tokens are linked to their neighbours; the pairs there are at first come sorted, those that
+        merges make from a heap. A pair whose tokens have changed since is passed over."""
+        if not self.by_pair:
+            self.by_pair = dict(zip(self.keys[:-1].tolist(), self.rank[:-1].tolist(), strict=True))
+        first = self.byte_id[np.frombuffer(word, np.uint8)]
+        ranks = self._ranks(first[:-1], first[1:])
+        at = np.flatnonzero(ranks < self.none)
+        sorted_pairs = iter(np.sort(ranks[at] << 32 | at).tolist())
+        tokens, n = array("q", first.tobytes()), len(first)
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        rank_of, made, none = self.by_pair.get, self.made.tolist(), self.none
+        heap: list[int] = []
+        ready = next(sorted_pairs, None)
+        while ready is not None or heap:
+            if heap and (ready is None or heap[0] < ready):
+                pair = heapq.heappop(heap)
+            else:
+                pair, ready = ready, next(sorted_pairs, None)
+            rank, here = pair >> 32, pair & 0xFFFFFFFF
+            right = after[here]
+            if tokens[here] < 0 or right >= n or rank_of(tokens[here] << 32 | tokens[right], none) != rank:
+                continue
+            token = tokens[here] = made[rank]
+            tokens[right] = -1
+            right = after[here] = after[right]
+            if right < n:
+                before[right] = here
+                new = rank_of(token << 32 | tokens[right])
+                if new is not None:
+                    heapq.heappush(heap, new << 32 | here)
+            left = before[here]
+            if left >= 0:
+                new = rank_of(tokens[left] << 32 | token)
+                if new is not None:
+                    heapq.heappush(heap, new << 32 | left)
+        ids = np.frombuffer(tokens, np.int64)
+        return ids[ids >= 0].astype("<u4").tobytes()
+
+    def encode(self, words: list[bytes], at_once: int = 1 << 20) -> list[bytes]:
         """Ids of every word, little-endian, 4 bytes each."""
         out = [b""] * len(words)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        for n in np.unique(lengths[lengths > 0]):
+        for i in np.flatnonzero(lengths >= LONG_MERGE).tolist():
+            out[i] = self._long(words[i])
+        for n in np.unique(lengths[(lengths > 0) & (lengths < LONG_MERGE)]):
             same = np.flatnonzero(lengths == n)
             for chosen in np.array_split(same, -(-len(same) * int(n) // at_once)):
                 text = np.frombuffer(b"".join([words[i] for i in chosen]), np.uint8)
@@ -166,9 +213,9 @@ def compile_words(words: Iterable[bytes], ids: dict[bytes, bytes]) -> np.ndarray
             passed += reach[target]
     known_ids = [np.frombuffer(ids[w], "<u4") for w in ordered]
     ends = np.cumsum([0, *map(len, known_ids)])
-    flat = np.concatenate([*known_ids, np.empty(0, "<u4")])
+    flat = np.concatenate([*known_ids, np.zeros(sum(map(len, known_ids)) % 2, "<u4")])  # two ids in each number
     head = [len(keys), len(arcs), len(ordered), len(flat), root]
-    return np.concatenate([np.asarray(x, np.int64) for x in (head, keys, targets, adds, finals, ends, flat)])
+    return np.concatenate([np.asarray(x, np.int64) for x in (head, keys, targets, adds, finals, ends)] + [flat.view("<i8")])
 
 
 class Automaton:
@@ -176,8 +223,9 @@ class Automaton:
 
     def __init__(self, numbers: np.ndarray) -> None:
         n_arcs, n_states, n_words, n_ids, self.root = map(int, numbers[:5])
-        sizes = [n_arcs, n_arcs, n_arcs, n_states, n_words + 1, n_ids]
-        self.keys, self.targets, self.adds, self.finals, self.ends, self.ids = np.split(numbers[5:], np.cumsum(sizes)[:-1])
+        sizes = [n_arcs, n_arcs, n_arcs, n_states, n_words + 1, n_ids // 2]
+        self.keys, self.targets, self.adds, self.finals, self.ends, ids = np.split(numbers[5:], np.cumsum(sizes)[:-1])
+        self.ids = memoryview(ids).cast("B")
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Place of each word in the lexicon, -1 for the others."""
@@ -203,12 +251,12 @@ class Automaton:
         return out
 
     def lookup(self, words: list[bytes]) -> list[bytes | None]:
-        flat = self.ids.astype("<u4").tobytes() if not hasattr(self, "_flat") else self._flat
-        self._flat = flat
-        ends = 4 * np.asarray(self.ends)
+        """Ids of the words it has, cut from the map."""
         places = self.places(words)
-        first, last = ends[np.maximum(places, 0)].tolist(), ends[np.minimum(places + 1, len(ends) - 1)].tolist()
-        return [flat[a:b] if p >= 0 else None for p, a, b in zip(places.tolist(), first, last, strict=True)]
+        ends = self.ends
+        first, last = (4 * ends[np.maximum(places, 0)]).tolist(), (4 * ends[np.minimum(places + 1, len(ends) - 1)]).tolist()
+        ids = self.ids
+        return [bytes(ids[a:b]) if p >= 0 else None for p, a, b in zip(places.tolist(), first, last, strict=True)]
 
 
 class Codec:
@@ -260,7 +308,7 @@ class Codec:
 
 
 def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for portion in (p for batch in batches for p in portions(batch, text=0)):
+    for portion in (p for batch in batches for p in portions(batch, text=0, size=PORTION)):
         counts = pc.value_counts(pieces_with_space(portion.column(0)).flatten())
         yield pa.record_batch([counts.field("values"), counts.field("counts")], ["piece", "n"])
 
@@ -321,7 +369,7 @@ def _codec(tokenizer_path: str, name: str = "") -> Codec:
 def _encode(tokenizer_path: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(tokenizer_path, name)
-        for portion in (p for batch in batches for p in portions(batch)):
+        for portion in (p for batch in batches for p in portions(batch, size=PORTION)):
             yield pa.record_batch([portion.column(0), codec.encode(portion.column(1)).cast(pa.binary())], ["doc_id", "ids"])
 
     return run
@@ -359,7 +407,7 @@ def digest_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, decimal = _codec(tokenizer_path, name), {}
-        for portion in (p for batch in batches for p in portions(batch)):
+        for portion in (p for batch in batches for p in portions(batch, size=PORTION)):
             columns: tuple[list, list, list] = ([], [], [])
             for scalar in codec.encode(portion.column(1)):
                 ids = scalar.as_py()

@@ -76,14 +76,14 @@ def encode_texts(cut: pa.ListArray, encode_distinct: Callable[[list[str]], list[
     )
 
 
-def portions(batch: pa.RecordBatch, text: int = 1) -> Iterator[pa.RecordBatch]:
+def portions(batch: pa.RecordBatch, text: int = 1, size: int | None = None) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of bounded size, null texts as empty ones; a longer text makes a slice of its own."""
     filled = pc.fill_null(batch.column(text), "")
     batch = batch.set_column(text, batch.schema.names[text], filled)
-    size = np.cumsum(np.asarray(pc.binary_length(filled), np.int64))
+    ends = np.cumsum(np.asarray(pc.binary_length(filled), np.int64))
     first = 0
-    while first < len(size):
-        last = np.searchsorted(size, (size[first - 1] if first else 0) + PORTION_BYTES, "right")
+    while first < len(ends):
+        last = np.searchsorted(ends, (ends[first - 1] if first else 0) + (size or PORTION_BYTES), "right")
         yield batch.slice(first, max(1, last - first))
         first = max(first + 1, last)
 

@@ -1,6 +1,7 @@
 """Encoders against the tokenizers library; token files and packing against plain Python."""
 
 import random
+import time
 import zlib
 from hashlib import sha256
 
@@ -77,6 +78,31 @@ def test_transducer_and_merges_give_the_ids_of_the_library(byte_ids, pieces):
         assert codec.decode(got) == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("word", [
+    "etaoin" * 2000, "a" * 10_007, "internationalization" * 300, "".join(chr(97 + i * i % 26) for i in range(9000)), "é\u4e2d" * 700,
+])
+def test_words_beyond_any_length_have_the_ids_of_the_library(word):
+    library = Tokenizer.from_file(BYTE_BPE)
+    texts = [word, f"so {word} on", word[:511], word[:513]]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert _lists(lexicon.Codec(BYTE_BPE).encode(pa.array(texts))) == want
+
+
+def test_a_megabyte_of_letters_takes_seconds():
+    began = time.perf_counter()
+    word = ("thequickbrownfoxjumps" * 50_000)[: 1 << 20]
+    ids = lexicon.Codec(BYTE_BPE).encode(pa.array([word]))[0].as_py()
+    assert time.perf_counter() - began < 15 and lexicon.Codec(BYTE_BPE).decode(ids) == word
+
+
+def test_ids_are_cut_from_the_map(tmp_path):
+    words = {b"tap": [1, 2, 3], b"top": [4], b"stop": [5, 70_000]}
+    path = tmp_path / "lexicon.bin"
+    path.write_bytes(lexicon.compile_words(words, {w: np.array(i, "<u4").tobytes() for w, i in words.items()}).astype("<i8").tobytes())
+    automaton = lexicon.Automaton(np.memmap(path, "<i8", "r"))
+    assert [np.frombuffer(x, "<u4").tolist() for x in automaton.lookup(list(words))] == list(words.values())
+
+
 def test_byte_letters_cover_every_byte():
     assert sorted(lexicon.byte_letters().values()) == list(range(256))
 

@@ -84,3 +84,55 @@ def test_slot_does_not_depend_on_layout(spark):
     df = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"), F.lit("x").alias("shard"))
     one, many = (slots.records(df.repartition(n)).select("doc_id", "virtual_slot") for n in (1, 9))
     assert one.exceptAll(many).isEmpty()
+
+
+def test_the_eleventh_version_is_the_latest(spark, tmp_path):
+    loads = spark.createDataFrame([(i, 10 * i + 1, 1) for i in range(64)], "virtual_slot int, bytes long, n_rows long")
+    path = str(tmp_path / "map")
+    for version in range(1, 12):
+        slots.store_map(slots.first_map(loads, 1 + version % 3, version), path)
+    latest = slots.read_map(spark, path)
+    assert {r["version"] for r in latest.collect()} == {11} and latest.schema["version"].dataType.typeName() == "integer"
+    assert {r["shard"] for r in latest.collect()} == {0, 1, 2}
+    assert {r["version"] for r in slots.read_map(spark, path, 9).collect()} == {9}
+
+
+def plain_moves(held, sizes, n_shards, most):
+    """The same moves by a plain loop."""
+    load = [sum(sizes[s] for s in held if held[s] == n) for n in range(n_shards)]
+    for _ in range(most):
+        full, empty = load.index(max(load)), load.index(min(load))
+        gap = max(load) - min(load)
+        gains = [(abs(2 * sizes[s] - gap), s) for s in sorted(held) if held[s] == full and 0 < sizes[s] < gap]
+        if not gains:
+            break
+        slot = min(gains)[1]
+        held[slot] = empty
+        load[full] -= sizes[slot]
+        load[empty] += sizes[slot]
+    return held, load
+
+
+@pytest.mark.parametrize("most", [0, 3, 100])
+def test_rebalancing_moves_slots_from_the_fullest_to_the_emptiest(spark, most):
+    sizes = {i: (i * i * 37) % 501 for i in range(60)}
+    sizes[60] = 9000  # more than a shard's share
+    before = spark.createDataFrame([(4, i, i % 5, 1) for i in range(58)], "version int, virtual_slot int, shard int, bytes long")
+    loads = spark.createDataFrame([(i, b, 1) for i, b in sizes.items()], "virtual_slot int, bytes long, n_rows long")
+    got = slots.rebalanced_map(before, loads, 5, most or 1).collect()
+    want, load = plain_moves({i: i % 5 for i in range(61)}, sizes, 5, most or 1)
+    assert {r["virtual_slot"]: r["shard"] for r in got} == want
+    assert {r["version"] for r in got} == {5} and {r["virtual_slot"]: r["bytes"] for r in got} == sizes
+
+
+def test_rows_are_placed_by_the_latest_version(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "a" * (i * 31 % 401), "x") for i in range(900)], SCHEMA)
+    path = str(tmp_path / "map")
+    first = slots.shard_documents(docs, 4, path, 64).collect()
+    assert {r["version"] for r in first} == {2}
+    grown = docs.union(spark.createDataFrame([(i, "b" * 5000, "x") for i in range(900, 905)], SCHEMA))
+    second = slots.shard_documents(grown, 4, path, 64).collect()
+    assert {r["version"] for r in second} == {3} and len(second) == 905
+    held = {r["virtual_slot"]: r["shard"] for r in slots.read_map(spark, path).collect()}
+    assert all(held[r["virtual_slot"]] == r["shard"] for r in second)
+    check_positions(second)
