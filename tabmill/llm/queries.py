@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.llm import binpieces, chat, collisions, covering, hostrules, lexicon, nbsvm, slots, suffixes, vbyte
+from tabmill.llm import binpieces, chat, collisions, covering, hostrules, lexicon, nbsvm, periods, slots, suffixes, vbyte
 from tabmill.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,6 +85,35 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.digest_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The documents; of those whose checksum ends in 0 the words from some place on begin again and again."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    step = F.floor(checksum / 10)
+
+    def again(words):
+        n = F.greatest(F.size(words), F.lit(1)).cast("long")
+        first = step % n
+        period = 1 + F.floor((n - first) / (3 + step % 8))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < first, w).otherwise(F.get(words, (first + (i - first) % period).cast("int")))), " ")
+
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # the one element of the outer array names the words, so a text is split once
+    return docs.select("doc_id", F.when(checksum % 10 == 0, F.transform(F.array(words), again)[0]).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(_with_periods(_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.select("doc_id", "collapsed", F.size("runs").cast("long").alias("n_runs"), F.array_join(line, "").alias("lines"), longest.alias("best"))
+    length, period = F.col("best.length"), -F.col("best.col3")
+    return best.select(
+        "doc_id", "n_runs", (-F.col("best.col2")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_nb_support_vectors": op2_nb_support_vectors,
@@ -96,6 +125,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_transducer_bpe": op10_transducer_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 SQL = {
