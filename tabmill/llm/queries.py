@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.llm import binpieces, chat, collisions, covering, hostrules, lexicon, nbsvm, periods, slots, suffixes, vbyte
+from tabmill.llm import binpieces, chat, codewords, collisions, covering, hostrules, lexicon, nbsvm, periods, slots, suffixes, vbyte
 from tabmill.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -114,6 +114,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codewords.identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_nb_support_vectors": op2_nb_support_vectors,
@@ -126,6 +130,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_transducer_bpe": op10_transducer_bpe,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_language_codes": op12_language_codes,
 }
 
 SQL = {
