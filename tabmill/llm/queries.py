@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.llm import binpieces, chat, codewords, collisions, covering, hostrules, lexicon, nbsvm, periods, slots, suffixes, vbyte
+from tabmill.llm import binpieces, chat, codewords, collisions, covering, hostrules, lexicon, nbsvm, periods, slots, suffixes, threshold, vbyte
 from tabmill.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -118,6 +118,12 @@ def op12_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codewords.identify(_table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id 7 divides count for the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return threshold.hard_negatives(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label")))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_nb_support_vectors": op2_nb_support_vectors,
@@ -131,6 +137,7 @@ QUERIES = {
     "op10_transducer_bpe": op10_transducer_bpe,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_language_codes": op12_language_codes,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL = {
@@ -193,4 +200,22 @@ SQL = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 AS base_failed,
             NOT f1 AND NOT coalesce(rejected, false) AS kept
         FROM failed LEFT JOIN verdicts USING (source)""",
+    "op13_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.id AS anchor, b.id AS other, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM whole a JOIN whole b ON a.id % 100 = 0 AND a.id <> b.id AND len(a.q) = len(b.q)
+        ), positives AS (
+            SELECT anchor, other, score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5
+        )
+        SELECT p.anchor AS anchor_id, p.other AS positive_id,
+            row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other)::INT AS rank,
+            n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON p.anchor = n.anchor AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+        QUALIFY rank <= 10""",
 }

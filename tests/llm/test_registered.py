@@ -26,5 +26,5 @@ def test_one_query_for_each_operator():
     import __spark_entry__ as entry
 
     numbers = sorted(int(m[1]) for m in (re.match(r"op(\d+)_", q) for q in entry.queries()) if m)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in entry.queries()
