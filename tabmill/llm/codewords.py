@@ -8,8 +8,8 @@ how reliable the bit has proved; the language with the least loss is chosen. The
 languages, and a text is ambiguous where the runner-up loses hardly more.
 
 N-grams are counted over all training texts by tasks, and the counts are added up by Spark; the model has one number for each bit and
-hashed n-gram, whatever the table holds. Curves and reliabilities come from at most ``CURVE_ROWS`` training rows, those with the
-smallest hashes of their ids among a tenth that is not counted. The languages, a row each, are read by the driver: their number sets the
+hashed n-gram, whatever the table holds. Curves and reliabilities come from at most ``CURVE_ROWS`` different training rows, chosen
+by hashes of their ids among a tenth that is not counted. The languages, a row each, are read by the driver: their number sets the
 length of the codewords. Texts are read as letters: A-Z in lower case, everything else in ASCII a space, bytes beyond as they are.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and not ambiguous; with one language learned every
@@ -37,7 +37,7 @@ UNKNOWN = "und"
 GRAMS = (2, 3, 4)
 HASH_BITS = 15
 SMOOTHING = 0.5
-#: Training rows that set the curves at most, and the share (one in so many) that is kept from the counts for them.
+#: Different training rows that set the curves at most, and the share (one in so many) that is kept from the counts for them.
 CURVE_ROWS, CURVE_SHARE = 4096, 10
 #: Up to so many languages all splits are bits; beyond it, bits for each doubling of the languages, and tries to find them.
 ALL_SPLITS, BITS_A_DOUBLING, TRIES = 6, 8, 200
@@ -194,17 +194,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(text_col, F.lit("")).cast("binary").alias("text"),
         F.xxhash64(F.col(id_col).cast("string")).alias("_hash"),
     )
-    languages = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    for_curves = F.pmod("_hash", F.lit(CURVE_SHARE)) == 0
+    found = rows.groupBy("lang").agg(F.count_if(for_curves).alias("n")).orderBy("lang").collect()
+    languages = [r["lang"] for r in found]
     book, size = codebook(len(languages)), 1 << bits
     if not book.shape[1]:
         return Model(languages, book, np.zeros((0, size)), np.zeros((0, 2)), np.zeros(0))
-    for_curves = F.pmod("_hash", F.lit(CURVE_SHARE)) == 0
     counted = rows.where(~for_curves).select("lang", "text").mapInArrow(_count(bits), "lang string, gram int, n long")
     summed = materialize(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
     counts = np.zeros((len(languages), size))
     number = {language: k for k, language in enumerate(languages)}
-    found = summed.groupBy("lang").agg(F.collect_list("gram").alias("gram"), F.collect_list("n").alias("n"))  # hashes at most
-    for r in found.toLocalIterator():
+    grams = summed.groupBy("lang").agg(F.collect_list("gram").alias("gram"), F.collect_list("n").alias("n"))  # hashes at most
+    for r in grams.toLocalIterator():
         counts[number[r["lang"]], r["gram"]] = r["n"]
     discard(summed)
     model = Model(languages, book, bit_weights(counts, book), np.ones((book.shape[1], 2)) * [1.0, 0.0], np.ones(book.shape[1]))
@@ -214,7 +215,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             got = [model.margins(t.as_buffer().to_pybytes()).tolist() for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(got, pa.list_(pa.float64()))], ["lang", "margins"])
 
-    chosen = rows.where(for_curves).orderBy("_hash", "_id", "lang", F.xxhash64("text")).limit(CURVE_ROWS)
+    # a share of the hashes that holds somewhat fewer rows than wanted, so that no task orders more
+    share = min(1.0, 0.9 * CURVE_ROWS / max(1, sum(r["n"] for r in found)))
+    key = ["_hash", "_id", "lang", "_text"]
+    chosen = rows.where(for_curves & (F.pmod(F.xxhash64("_hash"), F.lit(1 << 20)) < int(share * (1 << 20)))).withColumn("_text", F.xxhash64("text"))
+    chosen = chosen.dropDuplicates(key).orderBy(*key).limit(CURVE_ROWS)
     rows = chosen.select("lang", "text").mapInArrow(margins, "lang string, margins array<double>").collect()
     if rows:
         order = sorted(rows)
