@@ -6,15 +6,17 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 
 from tabmill.ml.mlp import MLPRegressor
 from tabmill.ml.prep import MAX_NOMINAL_LEVELS, FeaturePrep
 from tabmill.ml.target import FITTED_LABEL, TransformedTarget
+from tabmill.ml.trees import BINS, DeepForest, LeafwiseBoosting
 
 # --- fixed values of the tree learners ---
 FOREST_TREES = 300
-BOOSTING = {"maxDepth": 6, "stepSize": 0.1, "maxIter": 300, "minInstancesPerNode": 20}
+BOOSTING = {"maxDepth": 6, "stepSize": 0.1, "trees": 300, "minLeaf": 20}
+UNLIMITED_DEPTH = 64
 SEED = 42
 
 
@@ -38,18 +40,11 @@ def linear_regression(label: str, target: str = "raw", exclude: Sequence[str] =
 
 
 def random_forest(
-    label: str, target: str = "raw", exclude: Sequence[str] = (), trees: int = FOREST_TREES, max_depth: int = 30,
-    min_leaf: int = 1, max_bins: int = 256,
+    label: str, target: str = "raw", exclude: Sequence[str] = (), trees: int = FOREST_TREES, max_depth: int = UNLIMITED_DEPTH,
+    min_leaf: int = 1, max_bins: int = BINS,
 ) -> Estimator:
-    """All features at every split; 30 is the deepest tree Spark grows.
-
-    All trees lie on the driver: about 200 bytes for each node, up to two nodes per ``min_leaf`` rows and tree. For large tables
-    raise ``min_leaf`` so that trees times rows over ``min_leaf`` fits there.
-    """
-    forest = RandomForestRegressor(
-        labelCol=FITTED_LABEL, numTrees=trees, maxDepth=max_depth, minInstancesPerNode=min_leaf, maxBins=max_bins,
-        featureSubsetStrategy="all", seed=SEED,
-    )
+    """All features at every split; trees as deep as the rows allow, in stored batches."""
+    forest = DeepForest(labelCol=FITTED_LABEL, trees=trees, maxDepth=max_depth, minLeaf=min_leaf, maxBins=max_bins, seed=SEED)
     return _model(forest, label, target, exclude)
 
 
@@ -59,10 +54,9 @@ def small_forest(label: str, target: str = "raw", exclude: Sequence[str] = (), t
 
 
 def boosted_trees(label: str, target: str = "raw", exclude: Sequence[str] = (), **overrides) -> Estimator:
-    """Histogram boosting with nominal categories."""
-    params = {**BOOSTING, "maxBins": MAX_NOMINAL_LEVELS + 1, "seed": SEED, **overrides}
-    boosting = GBTRegressor(labelCol=FITTED_LABEL, **params)
-    return _model(boosting, label, target, exclude, kind="hgb_native", maxNominalLevels=params["maxBins"] - 1)
+    """Histogram boosting, leaf by leaf, with nominal categories."""
+    boosting = LeafwiseBoosting(labelCol=FITTED_LABEL, **{**BOOSTING, **overrides})
+    return _model(boosting, label, target, exclude, kind="hgb_native", maxNominalLevels=MAX_NOMINAL_LEVELS)
 
 
 def neural_net(label: str, target: str = "raw", exclude: Sequence[str] = (), id_column: str = "Id", **overrides) -> Estimator:

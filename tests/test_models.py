@@ -15,7 +15,7 @@ from tabmill.plans.scoring import score_with_stored
 FEATURES = ["GrLivArea", "OverallQual", "GarageArea", "MSZoning", "KitchenQual"]
 STAMP = datetime(2024, 1, 31)
 SMALL = {
-    "forest": {"trees": 5, "max_depth": 6}, "boosting": {"maxIter": 5, "maxDepth": 3, "maxBins": 32},
+    "forest": {"trees": 5, "max_depth": 6}, "boosting": {"trees": 5, "maxDepth": 3},
     "net": {"maxEpochs": 25, "batchSize": 32, "hidden": (32, 16)},
 }
 
@@ -110,9 +110,9 @@ def test_default_configurations():
         "LinearRegression", "LinearRegression_log", "RandomForest", "RandomForest_log", "HistGBR", "HistGBR_log", "MLP", "MLP_log"
     ]
     forest = regressors.random_forest("y").estimator.getStages()[1]
-    assert (forest.getNumTrees(), forest.getFeatureSubsetStrategy(), forest.getMaxDepth()) == (300, "all", 30)
+    assert [forest.getOrDefault(p) for p in ("trees", "minLeaf")] == [300, 1] and forest.getOrDefault("maxDepth") > 30
     boost = regressors.boosted_trees("y").estimator.getStages()[1]
-    assert (boost.getMaxIter(), boost.getMaxDepth(), boost.getStepSize()) == (300, 6, 0.1)
+    assert [boost.getOrDefault(p) for p in ("trees", "maxDepth", "stepSize", "minLeaf")] == [300, 6, 0.1, 20]
 
 
 def test_every_id_is_predicted_once_out_of_fold(table):

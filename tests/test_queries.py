@@ -38,4 +38,4 @@ def test_comparisons_take_all_configurations_columns_and_folds(spark, sf, monkey
     assert [c.name for c in asked["configs"]] == [c.name for c in default_configs("SalePrice")] and len(asked["configs"]) == 8
     assert asked["k"] == 5 and asked["columns"] == layers.prepare(fixture(spark, sf, "houses")).columns
     forest = next(c for c in asked["configs"] if c.name == "RandomForest").factory().estimator.getStages()[-1]
-    assert forest.getNumTrees() == 300
+    assert forest.getOrDefault("trees") == 300

@@ -13,7 +13,7 @@ from tabmill.ml.prep import CategoryCast, FeaturePrep, feature_names, top_import
 from tabmill.operators import choose, encode, folds, linear, metrics
 from tabmill.plans import layers, training
 from tabmill.plans.scoring import score, score_with_stored
-from tabmill.session import materialize, scratch_path
+from tabmill.session import materialize, scratch_path, shared_root
 from workload.dialects import DUCK, SPARK, hash_bucket
 from workload.fixtures import fixture, table, with_fixtures
 from workload.registry import query, rounded
@@ -332,7 +332,7 @@ FEATURES = ["GrLivArea", "OverallQual", "TotalBsmtSF", "GarageArea", "MSZoning",
 # Sizes of the learners here: all rows and folds, fewer trees and epochs than the defaults (README, "Decisions").
 SMALL = {
     "forest": {"trees": 10, "max_depth": 8},
-    "boosting": {"maxIter": 6, "maxDepth": 4},
+    "boosting": {"trees": 6, "maxDepth": 4},
     "net": {"maxEpochs": 25, "batchSize": 32, "hidden": (32, 16)},
 }
 STAMP = datetime(2024, 1, 31)
@@ -440,7 +440,7 @@ def _compared(spark, sf, mode="analysis"):
     gold = materialize(layers.prepare(fixture(spark, sf, "houses")), "gold")
     found = training.evaluate(
         gold, regressors.default_configs("SalePrice"), "Id", "SalePrice", "20240131_000000", STAMP,
-        k=K, mode=mode, model_dir=scratch_path(spark, "models"),
+        k=K, mode=mode, model_dir=scratch_path(spark, "models"), parallelism=8, ledger=f"{shared_root(spark)}/fit-ledger",
     )
     return gold, found
 
