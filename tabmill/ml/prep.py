@@ -80,12 +80,27 @@ class FeaturePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWr
             outputCol=outputCol, maxLevels=maxLevels, maxNominalLevels=maxNominalLevels,
         )
 
+    #: Medians found before on the same rows; they depend on no parameter but ``exclude``.
+    known_fills: dict[tuple, dict[str, float]] | None = None
+
+    def find_fills(self, df: DataFrame) -> dict[tuple, dict[str, float]]:
+        """Medians of the numbers. A column without any value is left out, as an imputer without a statistic does."""
+        numbers = numeric_columns(df, self.getOrDefault(self.exclude))
+        return {tuple(numbers): {c: m for c, m in medians(df, numbers)[None].items() if m is not None} if numbers else {}}
+
+    def with_fills(self, fills: dict[tuple, dict[str, float]]) -> "FeaturePrep":
+        """A copy that takes these medians where it reads the same columns."""
+        made = self.copy()
+        made.known_fills = fills
+        return made
+
     def _fit(self, df: DataFrame) -> "FeaturePrepModel":
         skip = self.getOrDefault(self.exclude)
         kind = self.getOrDefault(self.kind)
         numbers, categories = numeric_columns(df, skip), string_columns(df, skip)
-        # a column without any value is left out, as an imputer without a statistic does
-        fills = {c: m for c, m in medians(df, numbers)[None].items() if m is not None} if numbers else {}
+        fills = (self.known_fills or {}).get(tuple(numbers))
+        if fills is None:
+            fills = self.find_fills(df)[tuple(numbers)]
         scale = _scale(df, fills) if self.getOrDefault(self.scaleNumeric) and kind == "ohe_dense" and fills else {}
         table, kept, rare = None, {}, {}
         if categories:
