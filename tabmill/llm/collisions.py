@@ -14,7 +14,7 @@ Equal vectors are one node with a weight. A group sends on, per node, how many v
 its components, never its pairs; a pair that shares several cells is counted in the first of them.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite numbers, and vectors without id, are linked with nothing;
-vectors of different lengths are never linked; repeated rows are vectors of their own, linked with each other; an empty table gives no rows. Only the
+vectors of different lengths are never linked; different vectors of one id are nodes of their own; repeated rows are vectors of their own, linked with each other; an empty table gives no rows. Only the
 named columns are read.
 """
 
@@ -41,6 +41,7 @@ PROJECTIONS = 24
 #: Half a window in standard deviations of the difference between two vectors at the limit.
 HALF_WINDOW = 1.5
 SEED = 7
+_NAME = "struct<first: long, hash: long>"
 
 
 def plan(n: int, least: float = LEAST_COSINE, recall: float = CELL_RECALL, cell: int = CELL) -> tuple[int, int]:
@@ -114,9 +115,9 @@ def _deal(signs: int, tables: int):
     return run
 
 
-def _link_group(table: int, split: bool, side: np.ndarray, nodes: np.ndarray, weights: np.ndarray, cells: np.ndarray,
+def _link_group(table: int, split: bool, side: np.ndarray, weights: np.ndarray, cells: np.ndarray,
                 vectors: np.ndarray, least: float, projections: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(node, linked weight, smallest node of its component) of the nodes of a group that have a link there."""
+    """(place, linked weight, first place of its component) of the nodes of a group that have a link there."""
     unit = _unit(vectors)
     half_width = HALF_WINDOW * math.sqrt(2 - 2 * least)
     passing = collision_counts(unit @ directions(unit.shape[1], projections, 1), half_width) >= least_count(projections)
@@ -129,7 +130,7 @@ def _link_group(table: int, split: bool, side: np.ndarray, nodes: np.ndarray, we
         i, j = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
         close[at : at + (1 << 16)] = (unit[i] * unit[j]).sum(axis=1) >= least
     a, b = a[close], b[close]
-    label = np.arange(len(nodes))
+    label = np.arange(len(weights))
     while True:
         lower = label.copy()
         np.minimum.at(lower, a, label[b])
@@ -139,12 +140,12 @@ def _link_group(table: int, split: bool, side: np.ndarray, nodes: np.ndarray, we
             break
         label = lower
     counted = ~(cells[a, :table] == cells[b, :table]).any(axis=1)
-    linked = np.zeros(len(nodes), np.int64)
+    linked = np.zeros(len(weights), np.int64)
     np.add.at(linked, a[counted], weights[b[counted]])
     np.add.at(linked, b[counted], weights[a[counted]])
-    some = np.zeros(len(nodes), bool)
+    some = np.zeros(len(weights), bool)
     some[a] = some[b] = True
-    return nodes[some], linked[some], nodes[label[some]]
+    return np.flatnonzero(some), linked[some], label[some]
 
 
 def _link(least: float, projections: int):
@@ -166,12 +167,14 @@ def _link(least: float, projections: int):
             head = {c: group[c][0].as_py() for c in names}
             vectors = np.frombuffer(b"".join(group["data"].to_pylist()), "<f8").reshape(len(group), head["dimension"])
             cells = np.frombuffer(b"".join(group["cells"].to_pylist()), "<i4").reshape(len(group), -1)
-            found.append(_link_group(
-                head["tab"], head["low"] != head["high"], group["own"].to_numpy(), group["node"].to_numpy(),
-                group["weight"].to_numpy(), cells, vectors, least, projections,
-            ))
+            at, linked, roots = _link_group(
+                head["tab"], head["low"] != head["high"], group["own"].to_numpy(), group["weight"].to_numpy(), cells, vectors, least, projections,
+            )
+            found.append((at + first, linked, roots + first))
         if found:
-            yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["node", "linked", "root"])
+            at, linked, roots = (pa.array(np.concatenate(x)) for x in zip(*found, strict=True))
+            called = rows["node"].combine_chunks()
+            yield pa.record_batch([called.take(at), linked, called.take(roots)], ["node", "linked", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by group; a group may go on in the next batch."""
@@ -199,12 +202,12 @@ def near_vectors(
         F.col("vec_id").isNotNull() & (F.size("vector") > 0) & F.forall("vector", number) & F.exists("vector", lambda x: x != 0), F.lit(False)
     )
     rows = rows.withColumn("usable", usable)
-    nodes = materialize(
-        rows.where("usable").groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")), "vector-nodes"
-    )
+    # different vectors of one id have names of their own; the least name of a component holds its smallest id
+    name = F.struct(F.min("vec_id").alias("first"), F.xxhash64("vector").alias("hash"))
+    nodes = materialize(rows.where("usable").groupBy("vector").agg(name.alias("node"), F.count("*").alias("weight")), "vector-nodes")
     signs, tables = plan(nodes.count(), least, recall, cell)
     dealt = nodes.mapInArrow(
-        _deal(signs, tables), "dimension int, tab int, cell int, node long, weight long, cells binary, data binary"
+        _deal(signs, tables), f"dimension int, tab int, cell int, node {_NAME}, weight long, cells binary, data binary"
     )
     place = ["dimension", "tab", "cell"]
     large = materialize(
@@ -218,14 +221,16 @@ def near_vectors(
     )
     group = [*place, "low", "high"]
     linked = materialize(
-        met.repartition(*group).sortWithinPartitions(*group).mapInArrow(_link(least, projections), "node long, linked long, root long"),
+        met.repartition(*group).sortWithinPartitions(*group).mapInArrow(
+            _link(least, projections), f"node {_NAME}, linked long, root {_NAME}"
+        ),
         "vector-links",
     )
     counts = linked.groupBy("node").agg(F.sum("linked").alias("linked"))
     joined = components(linked.where("node != root").select("node", "root").distinct())
     named = materialize(
         nodes.join(counts, "node", "left").join(joined, "node", "left").select(
-            "vector", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")
+            "vector", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node")["first"].alias("component_id")
         ), "vector-names",
     )
     linked_rows = rows.where("usable").join(named, "vector").select("vec_id", "n_links", "component_id")

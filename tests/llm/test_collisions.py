@@ -98,3 +98,13 @@ def test_count_keeps_the_recall_wanted():
     assert (hits >= collisions.least_count()).mean() >= 0.99
     signs, tables = collisions.plan(1_000_000)
     assert 1 - (1 - (1 - math.acos(0.9) / math.pi) ** signs) ** tables >= collisions.CELL_RECALL
+
+
+def test_different_vectors_of_one_id_are_not_mixed_up(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (0, [-1.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in collisions.near_vectors(df).collect())
+    assert got == [(0, 0, 0), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+    df = spark.createDataFrame([(5, [1.0, 0.0]), (5, [0.0, 1.0]), (4, [0.01, 1.0])], "vec_id long, embedding array<float>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in collisions.near_vectors(df).collect())
+    assert got == [(4, 1, 4), (5, 0, 5), (5, 1, 4)]
