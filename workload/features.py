@@ -417,15 +417,15 @@ def one_hot_columns(spark, sf):
 
 @query(
     "numeric_modes",
-    """SELECT * FROM (SELECT 'n' AS "column", cast(v AS varchar) AS "mode" FROM (SELECT c_custkey % 13 + 5 AS v, count(*) AS n FROM customer
-       WHERE c_custkey <= 26 GROUP BY 1 ORDER BY n DESC, v LIMIT 1) a)
+    """SELECT * FROM (SELECT 'n' AS "column", cast(v AS varchar) AS "mode" FROM (SELECT (c_custkey - 1) // 2 % 13 + 5 AS v, count(*) AS n FROM customer
+       GROUP BY 1 ORDER BY n DESC, v LIMIT 1) a)
        UNION ALL SELECT 'd', cast(v AS varchar) FROM (SELECT cast(c_nationkey * 1.5E0 AS double) AS v, count(*) AS n FROM customer GROUP BY 1 ORDER BY n DESC, v LIMIT 1) b
        UNION ALL SELECT 'none', NULL""",
 )
 def numeric_modes(spark, sf):
     """Ties are settled by number, not by text; a column without values has no mode."""
     customers = table(spark, sf, "customer").select(
-        F.when(F.col("c_custkey") <= 26, F.col("c_custkey") % 13 + 5).alias("n"), (F.col("c_nationkey") * F.lit(1.5)).alias("d"),
+        F.expr("(c_custkey - 1) div 2 % 13 + 5").alias("n"), (F.col("c_nationkey") * F.lit(1.5)).alias("d"),
         F.lit(None).cast("string").alias("none"),
     )
     return profile.modes(customers, ["n", "d", "none"])
