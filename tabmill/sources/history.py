@@ -21,6 +21,8 @@ RUN_TABLES = {"models": "version", "train_cv_predictions": "model_version", "pre
 PART = "_part"
 # The columns that name folders; text, whatever their values look like.
 FOLDERS = (*dict.fromkeys(RUN_TABLES.values()), PART)
+# The folder of the load ledger; readers of the table pass over names that begin so.
+LEDGER = "_loads"
 
 
 def append_history(df: DataFrame, path: str) -> None:
@@ -78,10 +80,36 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def deliveries(incoming: DataFrame, version: str) -> DataFrame:
-    """version, _part: the rows of each run named by their content, whatever their order; one row per run."""
+    """version, _part, rows, digest: the rows of each run named by their content, whatever their order; one row per run."""
     columns = [F.col(quoted(c)) for c in sorted(incoming.columns)]
     digest = F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).cast("string")
-    return incoming.groupBy(F.col(version)).agg(F.md5(F.concat_ws(":", F.count(F.lit(1)), digest)).alias(PART))
+    found = incoming.groupBy(F.col(version).alias(version)).agg(F.count(F.lit(1)).alias("_rows"), digest.alias("_digest"))
+    return found.select(version, F.md5(F.concat_ws(":", "_rows", "_digest")).alias(PART), "_rows", "_digest")
+
+
+def read_loads(spark: SparkSession, path: str, version: str) -> DataFrame | None:
+    """version, _part, _rows, _digest of every delivery a RAW table has, from its ledger; None if nothing was loaded.
+
+    No data file is opened. A table without a ledger, loaded before there was one or stopped between its first rows and their entry, is
+    told from its folders; their rows and digests are NULL.
+    """
+    if path_exists(spark, f"{path}/{LEDGER}"):
+        return spark.read.schema(_ledger_schema(version)).parquet(f"{path}/{LEDGER}")
+    stored = read_growing(spark, path, (version, PART))
+    if stored is None:
+        return None
+    named = stored.select(F.col(version).cast("string").alias(version), PART).distinct()
+    return named.select(version, PART, F.lit(None).cast("bigint").alias("_rows"), F.lit(None).cast("string").alias("_digest"))
+
+
+def _ledger_schema(version: str) -> str:
+    return f"{quoted(version)} string, {PART} string, _rows bigint, _digest string"
+
+
+def _note_loads(loaded: DataFrame, path: str, version: str) -> None:
+    """Add one file to the ledger: a row for each delivery of a load."""
+    entries = loaded.select(F.col(quoted(version)).cast("string").alias(version), PART, "_rows", "_digest")
+    entries.coalesce(1).write.mode("append").parquet(f"{path}/{LEDGER}")
 
 
 def load_raw(incoming: DataFrame, path: str, version: str, mode: str = "append", skip: str = "snapshot") -> bool:
@@ -91,9 +119,10 @@ def load_raw(incoming: DataFrame, path: str, version: str, mode: str = "append",
     the runs is stored already, 'run' loads the runs that are not, 'part' loads what was not delivered before, also of runs
     stored already, 'none' always loads all.
 
-    The table has a folder for each run and below it one for each delivery, named by its content. Which runs are stored follows from
-    the folders, and a delivery that comes again, complete or after a failed write, replaces its own folder, so nothing is added
-    twice, rows without a version included. The snapshot is computed once and stored before it is looked at.
+    The table has a folder for each run and below it one for each delivery, named by its content. Which runs are stored is read from
+    a ledger beside the folders: a file for each load, written after its rows. A load that was stopped in between has no entry, so it
+    is made again, and a delivery that comes again replaces its own folder: nothing is added twice, rows without a version included
+    (with skip 'none', which adds whatever comes, also rows of a stopped load). The snapshot is computed once and stored before it is looked at.
     """
     if skip not in ("snapshot", "run", "part", "none"):
         raise ValueError(f"unknown skip mode {skip!r}")
@@ -110,29 +139,39 @@ def load_raw(incoming: DataFrame, path: str, version: str, mode: str = "append",
 
 def _load_stored(spark: SparkSession, incoming: DataFrame, path: str, version: str, mode: str, skip: str) -> bool:
     parts = materialize(deliveries(incoming, version), "deliveries")
+    scratch = [parts]
     try:
         wanted = parts
         if skip == "none":
             wanted = parts.withColumn(PART, F.lit(uuid.uuid4().hex))
-        stored = read_growing(spark, path, (version, PART)) if mode == "append" and skip != "none" else None
-        if stored is not None:
+        ledger = path_exists(spark, f"{path}/{LEDGER}")
+        stored = read_loads(spark, path, version) if mode == "append" and (skip != "none" or not ledger) else None
+        if stored is not None and not ledger:
+            # the folders of a table without a ledger become its first entry
+            stored = materialize(stored, "loads")
+            scratch.append(stored)
+            _note_loads(stored, path, version)
+        if stored is not None and skip != "none":
             if skip == "snapshot" and any_run_loaded(stored, parts, version):
                 return False
             if skip == "run":
                 wanted = new_runs(stored, wanted, version)
-            known = stored.select(F.col(version).cast("string").alias("_run"), F.col(PART).alias("_known")).distinct()
+            known = stored.select(F.col(version).alias("_run"), F.col(PART).alias("_known")).distinct()
             same = F.col(version).cast("string").eqNullSafe(F.col("_run")) & (F.col(PART) == F.col("_known"))
             wanted = wanted.join(known, same, "left_anti")
+        wanted = materialize(wanted, "wanted")
+        scratch.append(wanted)
         if mode == "append" and wanted.isEmpty():
             return False
-        runs = wanted.withColumnRenamed(version, "_run")
+        runs = wanted.select(F.col(version).alias("_run"), PART)
         rows = incoming.join(runs, F.col(version).eqNullSafe(F.col("_run"))).drop("_run")
-        # named after their content, deliveries replace themselves and nothing else
+        # named after their content, deliveries replace themselves and nothing else; a truncation removes the ledger as well
         overwrite = "dynamic" if mode == "append" else "static"
         rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(version, PART).parquet(path)
+        _note_loads(wanted, path, version)
         return True
     finally:
-        discard(parts)
+        discard(*scratch)
 
 
 def register_raw(spark: SparkSession, name: str, path: str) -> None:

@@ -86,6 +86,69 @@ def test_truncate_and_forced_append(spark, tmp_path):
         history.load_raw(run(spark, "b", 5), path, "version", mode="merge")
 
 
+def spoil(folder):
+    """Overwrite every data file, so that whoever opens one fails."""
+    from pathlib import Path
+
+    files = [f for f in Path(folder).rglob("*.parquet") if history.LEDGER not in f.parts]
+    assert files
+    for f in files:
+        f.write_bytes(b"no data")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+
+
+@pytest.mark.parametrize("skip", ["snapshot", "run", "part", "none"])
+def test_a_load_of_a_new_run_opens_no_old_file(spark, tmp_path, skip):
+    path = str(tmp_path / "raw")
+    history.load_raw(run(spark, "a", 1, 2).union(run(spark, None, 4)), path, "version")
+    spoil(path)
+    assert history.load_raw(run(spark, "b", 3), path, "version", skip=skip)
+    if skip != "none":
+        assert not history.load_raw(run(spark, "b", 3), path, "version", skip=skip)
+    assert [r["v"] for r in spark.read.parquet(f"{path}/version=b").collect()] == [3]
+    loads = history.read_loads(spark, path, "version")
+    assert sorted((r["version"] or "", r["_rows"]) for r in loads.collect()) == [("", 1), ("a", 2), ("b", 1)]
+
+
+@pytest.mark.parametrize("skip", ["snapshot", "run", "part"])
+@pytest.mark.parametrize("first", [False, True])
+def test_a_stopped_load_is_made_again(spark, tmp_path, monkeypatch, skip, first):
+    path = str(tmp_path / "raw")
+    if not first:
+        history.load_raw(run(spark, "z", 9), path, "version")
+    snapshot = run(spark, "a", 1, 2).union(run(spark, None, 4))
+
+    def stopped(*_):
+        raise InterruptedError
+
+    with monkeypatch.context() as m:
+        m.setattr(history, "_note_loads", stopped)
+        with pytest.raises(InterruptedError):
+            history.load_raw(snapshot, path, "version", skip=skip)
+    # rows are there, their entry is not; the first load of all is told from the folders
+    assert history.load_raw(snapshot, path, "version", skip=skip) != first
+    assert not history.load_raw(snapshot, path, "version", skip=skip)
+    assert stored(spark, path) == sorted([("", 4), ("a", 1), ("a", 2)] + ([] if first else [("z", 9)]))
+
+
+def test_a_table_without_ledger_gets_one(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    run(spark, "a", 1).withColumn("_part", F.lit("p")).write.partitionBy("version", "_part").parquet(path)
+    assert not history.load_raw(run(spark, "a", 1), path, "version")
+    spoil(path)
+    assert history.load_raw(run(spark, "b", 3), path, "version")
+    assert sorted(r["version"] for r in history.read_loads(spark, path, "version").collect()) == ["a", "b"]
+
+
+def test_a_truncation_begins_a_new_ledger(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    history.load_raw(run(spark, "a", 1), path, "version")
+    history.load_raw(run(spark, "b", 5), path, "version", mode="truncate")
+    assert [r["version"] for r in history.read_loads(spark, path, "version").collect()] == ["b"]
+    assert history.load_raw(run(spark, "a", 1), path, "version")
+    assert history.read_loads(spark, str(tmp_path / "none"), "version") is None
+
+
 def test_new_columns_are_added(spark, tmp_path):
     path = str(tmp_path / "raw")
     history.load_raw(run(spark, "a", 1), path, "version")
