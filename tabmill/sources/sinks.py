@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping
 
@@ -13,19 +14,26 @@ from tabmill.functions.checks import quoted, require_columns
 from tabmill.session import remove_path
 from tabmill.sources.readers import CSV_FORMAT, path_exists
 
+# Stands between the name of a table and the number of a version of it.
+VERSION_MARK = "__v"
+
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:
     spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name)", args={"name": name})
 
 
-def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> int:
+def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None, keep: int = 1) -> int:
     """Replace a catalog table with its schema; returns the rows written, counted on the way.
 
-    The rows are written under a name of their own first, so a table may be replaced from itself, and a write that fails
-    leaves the old table as it was. With ``path`` each version lies in a new folder below it.
+    Each version is a table of its own, ``<name>__v<number>_<id>``, and ``name`` a view of the latest one. The view changes in one step of the catalog
+    after the rows are written, so a reader finds the old rows or the new ones, a table may be replaced from itself, and a
+    write that fails leaves the old version in place. The ``keep`` versions before the latest stay for readers that have
+    begun with them; older ones go. With ``path`` each version lies in a new folder below it. A plain table of that name, made by others,
+    becomes version 0; only then is there no table for a moment. One writer at a time.
     """
     spark = df.sparkSession
-    fresh = f"{name}_new_{uuid.uuid4().hex[:12]}"
+    earlier = table_versions(spark, name)
+    fresh = f"{name}{VERSION_MARK}{_number(earlier[-1]) + 1 if earlier else 1:09d}_{uuid.uuid4().hex[:8]}"
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt)
     if path:
@@ -33,16 +41,40 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", path: str |
     try:
         writer.saveAsTable(fresh)
     except Exception:
-        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": fresh})
+        _drop_version(spark, fresh, path)
         raise
-    replaced = _location(spark, name) if path and spark.catalog.tableExists(name) else None
-    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
-    spark.sql(f"ALTER TABLE {_quoted_name(fresh)} RENAME TO {_quoted_name(name)}")
-    if replaced and f"{path}/" in replaced:
-        remove_path(spark, replaced)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        plain = f"{name}{VERSION_MARK}{0:09d}_{uuid.uuid4().hex[:8]}"
+        spark.sql(f"ALTER TABLE {_quoted_name(name)} RENAME TO {_quoted_name(plain)}")
+        earlier.insert(0, plain)
+    spark.sql(f"CREATE OR REPLACE VIEW {_quoted_name(name)} AS SELECT * FROM {_quoted_name(fresh)}")
+    for old in earlier[: max(0, len(earlier) - keep)]:
+        _drop_version(spark, old, path)
     return seen.get["rows"]
 
 
+def table_versions(spark: SparkSession, name: str) -> list[str]:
+    """The versions of a table that ``overwrite_table`` wrote, oldest first."""
+    *space, table = name.split(".")
+    within = f"IN {_quoted_name('.'.join(space))} " if space else ""
+    listed = spark.sql(f"SHOW TABLES {within}LIKE '{table}{VERSION_MARK}*'").select("tableName").collect()  # a few versions
+    ours = re.compile(rf"{re.escape(table)}{VERSION_MARK}\d{{9}}_[0-9a-f]{{8}}", re.IGNORECASE)
+    found = [r["tableName"] for r in listed if ours.fullmatch(r["tableName"])]
+    return [".".join([*space, t]) for t in sorted(found, key=_number)]
+
+
+def _number(version: str) -> int:
+    return int(version.rsplit(VERSION_MARK, 1)[1].split("_")[0])
+
+
+def _drop_version(spark: SparkSession, version: str, path: str | None) -> None:
+    """Drop one version and, of tables kept below ``path``, its folder."""
+    folder = _location(spark, version) if path and spark.catalog.tableExists(version) else None
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": version})
+    if folder and f"{path}/" in folder:
+        remove_path(spark, folder)
+
+
 def _location(spark: SparkSession, name: str) -> str | None:
     rows = spark.sql(f"DESCRIBE FORMATTED {_quoted_name(name)}").where("col_name = 'Location'").collect()  # one row
     return rows[0]["data_type"] if rows else None
