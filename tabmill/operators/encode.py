@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabmill.defaults import MISSING_CATEGORY
 from tabmill.functions.checks import col
+from tabmill.operators import sketches
 from tabmill.operators.profile import level_counts, modes
 from tabmill.operators.ranks import medians
 
@@ -37,19 +38,24 @@ def impute_global(df: DataFrame, median_columns: Sequence[str], mode_columns: Se
     return df.withColumns(exprs) if exprs else df
 
 
-def fold_medians(df: DataFrame, columns: Sequence[str], fold: str = "fold") -> DataFrame:
-    """fold, column, median — for each fold over the rows of all other folds; one row per pair."""
+def fold_medians(df: DataFrame, columns: Sequence[str], fold: str = "fold", sketch: int | None = None) -> DataFrame:
+    """fold, column, median — for each fold over the rows of all other folds; one row per pair.
+
+    Exact, or with ``sketch`` from quantile sketches of that size, see ``sketches.rank_error``.
+    """
+    if sketch is not None:
+        return sketches.fold_medians(df, columns, fold, sketch).drop("n")
     found = medians(df, columns, leave_out=fold)
     rows = [(f, c, m) for f, per_column in found.items() for c, m in per_column.items()]
     return df.sparkSession.createDataFrame(rows, f"{fold} int, column string, median double")
 
 
-def impute_by_fold(df: DataFrame, columns: Sequence[str], fold: str = "fold") -> DataFrame:
-    """Fill each row with the medians of the folds it does not belong to.
+def impute_by_fold(df: DataFrame, columns: Sequence[str], fold: str = "fold", sketch: int | None = None) -> DataFrame:
+    """Fill each row with the medians of the folds it does not belong to, exact or sketched.
 
     The joined side has one row per fold.
     """
-    per_fold = fold_medians(df, columns, fold)
+    per_fold = fold_medians(df, columns, fold, sketch)
     wide = per_fold.groupBy(fold).agg(
         *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"_m{i}") for i, c in enumerate(columns)]
     )

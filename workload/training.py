@@ -12,7 +12,7 @@ from tabmill.ml import regressors
 from tabmill.ml.compiled import LinearFormula, compile_linear
 from tabmill.ml.prep import CategoryCast, FeaturePrep, feature_names, top_importances
 from tabmill.ml.target import TransformedTargetModel
-from tabmill.operators import choose, encode, folds, linear, metrics
+from tabmill.operators import choose, encode, folds, linear, metrics, sketches
 from tabmill.plans import layers, training
 from tabmill.plans.scoring import score, score_with_stored
 from tabmill.session import materialize, scratch_path, shared_root
@@ -104,6 +104,29 @@ def fold_medians(spark, sf):
     return encode.fold_medians(_folded(spark, sf), IMPUTED)
 
 
+SKETCHED = " UNION ALL ".join(
+    f"SELECT cast(k AS integer) AS fold, '{c}' AS \"column\", count({q(c)}) AS n, 'true' AS near FROM ks JOIN folded ON fold <> k GROUP BY k" for c in IMPUTED
+)
+
+
+@query("fold_medians_sketched", with_fixtures("houses", f"WITH {FOLDED}, {ALL_FOLDS} {SKETCHED}"))
+def fold_medians_sketched(spark, sf):
+    """Sketched medians and, counted over the table, whether their ranks lie within twice the stated error (a sketch may miss it once)."""
+    folded = _folded(spark, sf)
+    found = sketches.fold_medians(folded, IMPUTED).collect()  # one row per fold and column
+    ranks = folded.agg(F.array(*[
+        F.struct(
+            F.lit(r["fold"]).alias("fold"), F.lit(r["column"]).alias("column"), F.lit(r["n"]).alias("n"),
+            F.count_if((F.col("fold") != r["fold"]) & (F.col(r["column"]) < r["median"])).alias("below"),
+            F.count_if((F.col("fold") != r["fold"]) & (F.col(r["column"]) <= r["median"])).alias("upto"),
+        )
+        for r in found
+    ]).alias("ranks")).select(F.inline("ranks"))
+    share = 2 * sketches.rank_error()
+    near = (F.col("below") <= (0.5 + share) * F.col("n")) & (F.col("upto") >= (0.5 - share) * F.col("n"))
+    return ranks.select("fold", "column", "n", near.alias("near"))
+
+
 @query(
     "fold_imputation",
     with_fixtures(
