@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabmill.functions.targets import LOG_TARGET, RAW_TARGET
 from tabmill.ml import regressors
 from tabmill.ml.compiled import LinearFormula, compile_linear
+from tabmill.ml.permute import permutation_importances
 from tabmill.ml.prep import CategoryCast, FeaturePrep, feature_names, top_importances
 from tabmill.ml.target import TransformedTargetModel
 from tabmill.operators import choose, encode, folds, linear, metrics, sketches
@@ -456,6 +457,34 @@ def feature_importances(spark, sf):
     return top_importances(stages[0].transform(gold), stages[-1].featureImportances)
 
 
+PAIRED_ROWS = 10_000
+PERMUTED_SQL = with_fixtures(
+    "houses",
+    f"""WITH med AS (SELECT cast(median({q('GrLivArea')}) AS double) AS med FROM houses),
+    r AS (SELECT {q('Id')} AS id, {q('GrLivArea')} AS area, coalesce({q('GrLivArea')}, med) AS a, {q('OverallQual')} AS b, {q('SalePrice')} AS t FROM houses, med),
+    s AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(t) AS mt, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS vab,
+                 covar_pop(a, t) AS vat, covar_pop(b, t) AS vbt FROM r),
+    c AS (SELECT *, (vat * vb - vbt * vab) / (va * vb - vab * vab) AS ca, (vbt * va - vat * vab) / (va * vb - vab * vab) AS cb FROM s),
+    h AS (SELECT *, md5(id::varchar || '42:pairs') AS digest,
+                 {hash_bucket('id', '42:pairs', f'(SELECT cast(ceil(count(*) / {PAIRED_ROWS}.0) AS bigint) FROM houses)')} AS bucket FROM r),
+    p AS (SELECT *, coalesce(lead(id) OVER w, first_value(id) OVER w) AS partner FROM h WINDOW w AS (PARTITION BY bucket ORDER BY digest)),
+    x AS (SELECT p.t, p.a, p.b, o.a AS oa, o.b AS ob FROM p JOIN r o ON o.id = p.partner),
+    e AS (SELECT sqrt(avg(pow(t - (mt + ca * (a - ma) + cb * (b - mb)), 2))) AS plain,
+                 sqrt(avg(pow(t - (mt + ca * (oa - ma) + cb * (b - mb)), 2))) AS area,
+                 sqrt(avg(pow(t - (mt + ca * (a - ma) + cb * (ob - mb)), 2))) AS quality, count(t) AS n FROM x, c)
+    SELECT 'GrLivArea' AS feature, n, round(area, 2) AS rmse, round(area - plain, 2) AS importance FROM e
+    UNION ALL SELECT 'OverallQual', n, round(quality, 2), round(quality - plain, 2) FROM e""",
+)
+
+
+@query("permuted_importances", PERMUTED_SQL)
+def permuted_importances(spark, sf):
+    """How much the error of a fitted pipeline grows when the values of a feature change places."""
+    houses = materialize(fixture(spark, sf, "houses").select("Id", "SalePrice", "GrLivArea", "OverallQual"), "scored")
+    fitted = regressors.linear_regression("SalePrice", exclude=["Id"]).fit(houses)
+    return rounded(permutation_importances(fitted, houses, "SalePrice", ["GrLivArea", "OverallQual"], "Id", rows_together=PAIRED_ROWS), 2)
+
+
 def _compared(spark, sf, mode="analysis"):
     """The gold table and the comparison of all default configurations on all its columns and five folds."""
     gold = materialize(layers.prepare(fixture(spark, sf, "houses")), "gold")
