@@ -10,7 +10,7 @@ from tabmill.functions.features import add_features
 from tabmill.functions.missing import fill_not_present, fill_zero, infer_types, normalize_missing
 from tabmill.functions.ordinal import encode_ordinals
 from tabmill.functions.targets import LOG_TARGET, abs_error, has_prediction, rel_error
-from tabmill.operators import encode, profile, windows
+from tabmill.operators import encode, profile, slotted, windows
 from tabmill.operators.ranks import medians
 from tabmill.plans import layers
 from tabmill.session import scratch_path
@@ -527,3 +527,27 @@ def standardized(spark, sf):
 
 
 assert set(NUMBERS) <= set(HOUSE_NUMBERS) and set(LEVELS) <= set(HOUSE_TEXT)
+
+
+SLOTTED_SQL = f"""
+WITH o AS (SELECT o_orderkey, concat('customer ', o_custkey) AS c0, strftime(o_orderdate, '%Y-%m-%d') AS c1, o_orderpriority AS c2 FROM orders),
+lv AS ({" UNION ALL ".join(f"SELECT {i} AS place, coalesce(c{i}, '__missing__') AS v, count(*) >= 10 AS kept FROM o GROUP BY 2" for i in range(3))}),
+k AS (SELECT place, CASE WHEN kept THEN v ELSE '' END AS v, NOT kept AS rare FROM lv GROUP BY 1, 2, 3),
+s AS (SELECT *, row_number() OVER (ORDER BY place, rare, v) - 1 AS slot FROM k),
+d AS (SELECT lv.place, lv.v, slot FROM lv JOIN s ON s.place = lv.place AND s.rare = (NOT kept) AND (s.rare OR s.v = lv.v))
+SELECT o_orderkey, cast(d0.slot AS integer) AS customer_slot, cast(d1.slot AS integer) AS day_slot, cast(d2.slot AS integer) AS priority_slot
+FROM o JOIN d d0 ON d0.place = 0 AND d0.v = coalesce(c0, '__missing__') JOIN d d1 ON d1.place = 1 AND d1.v = coalesce(c1, '__missing__')
+JOIN d d2 ON d2.place = 2 AND d2.v = coalesce(c2, '__missing__')"""
+
+
+@query("one_hot_slots", SLOTTED_SQL)
+def one_hot_slots(spark, sf):
+    """Levels that grow with the table, encoded by a stored table of slots; the slots of a row, one for each column."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.concat(F.lit("customer "), "o_custkey").alias("c0"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("c1"),
+        F.col("o_orderpriority").alias("c2"),
+    )
+    columns = ["c0", "c1", "c2"]
+    slots = slotted.slot_table(encode.levels(orders, columns, 10), columns)
+    listed = slotted.slot_lists(orders, slots, columns, spread_by=["o_orderkey"])
+    return listed.select("o_orderkey", *[F.get("slots", F.lit(i)).alias(n) for i, n in enumerate(("customer_slot", "day_slot", "priority_slot"))])
