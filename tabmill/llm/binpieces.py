@@ -19,9 +19,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabmill.llm.wordwise import encoder, portions
-from tabmill.session import scratch_path
+from tabmill.session import materialize, scratch_path
 
 GREATEST = 4096
+# Rows of a length and a task each that a broadcast may hold: some 40 MB.
+MOST_SENT = 1_000_000
+# Tasks that are added up in one window.
+TASKS_TOGETHER = 4_096
 SCHEMA = "doc_id long, start long, length int, doc_tokens long, tokens binary, part int, place long"
 
 
@@ -66,18 +70,33 @@ def cut_documents(
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None, greatest: int = GREATEST) -> DataFrame:
     """Sequences with their tokens, stored by length at ``path``, numbered from 0 with those of one length together.
 
-    The numbers come from how many pieces of each length each task wrote: one row per length and task, no sort of pieces.
+    The numbers come from how many pieces of each length each task wrote: one row per length and task, no sort of pieces. Up to
+    ``MOST_SENT`` such rows, counted first, are sent to every executor; more of them are joined as Spark finds best.
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "sequences")
     written = cut_documents(docs, tokenizer_path, end_id, greatest)
     written.write.partitionBy("length").option("compression", "zstd").parquet(path)
     pieces = spark.read.schema(written.schema).parquet(path)
-    counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
-    before = W.orderBy("length", "part").rowsBetween(W.unboundedPreceding, -1)
-    firsts = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    numbered = pieces.join(F.broadcast(firsts), ["length", "part"])  # lengths times tasks
+    firsts = materialize(first_numbers(pieces.groupBy("length", "part").agg(F.count("*").alias("n"))), "first-numbers")
+    numbered = pieces.join(F.broadcast(firsts) if firsts.count() <= MOST_SENT else firsts, ["length", "part"])
     return numbered.select(
         "doc_id", "start", F.col("length").cast("long").alias("length"), "doc_tokens", "tokens",
         (F.col("first") + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )
+
+
+def first_numbers(counts: DataFrame, tasks_together: int = TASKS_TOGETHER) -> DataFrame:
+    """length, part, first: where the numbers of a task's pieces of a length begin; ``counts`` holds n for each.
+
+    Tasks are added up in blocks and within each block, so no window holds all of them: one has ``tasks_together`` rows, the other one
+    per length and block.
+    """
+    blocked = counts.withColumn("block", F.floor(F.col("part") / tasks_together))
+    before = W.orderBy("length", "block").rowsBetween(W.unboundedPreceding, -1)
+    sums = blocked.groupBy("length", "block").agg(F.sum("n").alias("n"))
+    starts = sums.select("length", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = W.partitionBy("length", "block").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    return blocked.withColumn("inner", F.coalesce(F.sum("n").over(within), F.lit(0))).join(starts, ["length", "block"]).select(
+        "length", "part", (F.col("start") + F.col("inner")).alias("first")
+    )

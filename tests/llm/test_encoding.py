@@ -195,3 +195,27 @@ def test_packing(spark):
         assert b"".join(p["tokens"] for p in whole[doc_id]) == want
         assert zlib.crc32(whole[doc_id][0]["tokens"]) == zlib.crc32(want[: len(whole[doc_id][0]["tokens"])])
         assert {p["doc_tokens"] for p in whole[doc_id]} == {len(want) // 4}
+
+
+@pytest.mark.parametrize("together", [1, 3, 4096])
+def test_first_numbers_of_lengths_and_tasks(spark, together):
+    rng = random.Random(6)
+    counts = [(1 << k, part, rng.randrange(1, 50)) for k in range(5) for part in range(20) if rng.random() < 0.7]
+    rng.shuffle(counts)
+    found = binpieces.first_numbers(spark.createDataFrame(counts, "length int, part int, n long"), together).collect()
+    expected, at = {}, 0
+    for length, part, n in sorted(counts):
+        expected[length, part] = at
+        at += n
+    assert {(r["length"], r["part"]): r["first"] for r in found} == expected
+
+
+def test_packing_with_more_tasks_than_are_sent(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "some words " * (i % 40)) for i in range(200)], "doc_id long, text string").repartition(6)
+    sent = sorted(map(tuple, binpieces.pack(docs, WORD_BPE, END_ID).select("doc_id", "start", "length", "sequence_id").collect()))
+    monkeypatch.setattr(binpieces, "MOST_SENT", 0)
+    joined = binpieces.pack(docs, WORD_BPE, END_ID)
+    assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
+    found = sorted(map(tuple, joined.select("doc_id", "start", "length", "sequence_id").collect()))
+    assert [r[:3] for r in found] == [r[:3] for r in sent]
+    assert sorted(r[3] for r in found) == sorted(r[3] for r in sent) == list(range(len(sent)))
