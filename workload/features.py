@@ -453,9 +453,16 @@ def gold_with_empty_ordinals(spark, sf):
     return layers.prepare(houses).select("Id", "KitchenQual", "PavedDrive")
 
 
-@query("column_types_counted", "SELECT data_type AS type, count(*) AS n FROM (VALUES ('bigint'), ('bigint'), ('double'), ('string')) t(data_type), (SELECT count(*) AS r FROM orders) o WHERE r > 0 GROUP BY 1")
+TYPED = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
+@query(
+    "column_types_counted",
+    f"""SELECT CASE t WHEN 'VARCHAR' THEN 'string' ELSE lower(t) END AS type, count(*) AS n
+        FROM (SELECT unnest([{", ".join(f"typeof(any_value({c}))" for c in TYPED)}]) AS t FROM orders) x GROUP BY 1""",
+)
 def column_types_counted(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    orders = table(spark, sf, "orders").select(*TYPED)
     found = profile.type_counts(orders)
     return spark.createDataFrame(sorted(found.items()), "type string, n bigint")
 
