@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabmill.functions.missing import treat_missing
 from tabmill.ml import mlp, prep, regressors
 from tabmill.ml.target import TransformedTargetModel
+from tabmill.operators import ranks
 from tabmill.operators.folds import assign_folds, mark_holdout
 from tabmill.plans import layers, training
 from tabmill.plans.scoring import score_with_stored
@@ -211,3 +212,25 @@ def test_feature_stage_equals_the_layers(houses):
     columns = sorted(layered.columns)
     assert staged.select(columns).orderBy("Id").collect() == layered.select(columns).orderBy("Id").collect()
     assert treat_missing(houses).count() == houses.count()
+
+
+def test_medians_of_all_folds_come_from_one_pass(spark, monkeypatch):
+    rows = [(i, f, float(i % 7) if i % 5 else None, i * i % 11, 9.0 if f == 1 else None, 2.0 * i) for i in range(60) for f in [[0, 1, 2, 7, None][i % 5]]]
+    df = spark.createDataFrame(rows, "Id int, fold int, a double, b int, c double, y double")
+    calls = []
+    spans = ranks._spans
+    monkeypatch.setattr(ranks, "_spans", lambda cells: calls.append(1) or spans(cells))
+    make = lambda: regressors.linear_regression("y", exclude=["Id"])
+    oof = training.out_of_fold(df, make, 4, ["Id", "y"], parallelism=2)  # fold 3 has no rows, fold 7 and none are no test rows
+    assert len(calls) == 2  # one pass for the folds, one for the part that leaves out an empty fold; there were four
+    assert sorted(r["Id"] for r in oof.collect()) == [i for i in range(60) if i % 5 < 3]
+    preps = training.FittedPreps()
+    preps.share_folds(df, 4, "fold")
+    stage = make().estimator.getStages()[0]
+    for f in range(4):
+        train = df.where(F.col("fold") != f).drop("fold")
+        assert preps._find_fills(stage, train, training.fold_part(f)) == stage.find_fills(train)
+    assert preps._find_fills(stage, df.drop("fold"), "all rows") == stage.find_fills(df.drop("fold"))
+    text = training.FittedPreps()
+    text.share_folds(df.withColumn("fold", F.col("fold").cast("string")), 4, "fold")
+    assert text._folded is None
