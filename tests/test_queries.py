@@ -39,3 +39,20 @@ def test_comparisons_take_all_configurations_columns_and_folds(spark, sf, monkey
     assert asked["k"] == 5 and asked["columns"] == layers.prepare(fixture(spark, sf, "houses")).columns
     forest = next(c for c in asked["configs"] if c.name == "RandomForest").factory().estimator.getStages()[-1]
     assert forest.getOrDefault("trees") == 300
+
+
+@pytest.mark.parametrize("cores, fits", [(4, 8), (12, 12)])
+def test_comparisons_fit_as_many_models_at_a_time_as_there_are_cores(spark, sf, monkeypatch, cores, fits):
+    from workload import training
+
+    asked = {}
+
+    def noted(df, *args, **options):
+        asked.update(options)
+        raise InterruptedError
+
+    monkeypatch.setattr(training.training, "evaluate", noted)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", cores)
+    with pytest.raises(InterruptedError):
+        QUERIES["model_comparison"](spark, sf)
+    assert asked["parallelism"] == fits  # eight nets of one core each left four of twelve cores idle
